@@ -1,6 +1,6 @@
 """Which partitions exist, which are missing, which can be built, which are late.
 
-All operators work on inventories: ``(table, day)`` with one row per stored partition. An
+All operators work on inventories: ``(table_name, day)`` with one row per stored partition. An
 inventory has at most one row per table and calendar day, whatever the size of the tables.
 """
 
@@ -25,7 +25,7 @@ def partition_inventory(tables: Mapping[str, DataFrame], day: str = "snapshot_da
     """Distinct partitions of each table."""
     return _union(
         [
-            df.select(F.lit(name).alias("table"), F.col(day).alias("day")).distinct()
+            df.select(F.lit(name).alias("table_name"), F.col(day).alias("day")).distinct()
             for name, df in tables.items()
         ]
     )
@@ -34,12 +34,12 @@ def partition_inventory(tables: Mapping[str, DataFrame], day: str = "snapshot_da
 def partition_row_counts(tables: Mapping[str, DataFrame], day: str = "snapshot_date") -> DataFrame:
     """Rows per table and partition, ordered by both."""
     counts = [
-        df.groupBy(F.lit(name).alias("table"), F.col(day).alias("day")).agg(
+        df.groupBy(F.lit(name).alias("table_name"), F.col(day).alias("day")).agg(
             F.count(F.lit(1)).alias("row_count")
         )
         for name, df in tables.items()
     ]
-    return _union(counts).orderBy("table", "day")
+    return _union(counts).orderBy("table_name", "day")
 
 
 def date_spine(df: DataFrame, day: str, until: Column | None = None) -> DataFrame:
@@ -61,12 +61,12 @@ def missing_partitions(
     """Days of the lookback window ending on ``as_of`` that a known table lacks."""
     first = as_of - dt.timedelta(days=lookback - 1)
     wanted = (
-        inventory.select("table")
+        inventory.select("table_name")
         .distinct()
         .withColumn("day", F.explode(F.sequence(F.lit(first), F.lit(as_of))))
     )
     present = inventory.where(F.col("day").between(F.lit(first), F.lit(as_of)))
-    return wanted.join(present, ["table", "day"], "left_anti")
+    return wanted.join(present, ["table_name", "day"], "left_anti")
 
 
 def unbuilt_partitions(candidates: DataFrame, built: DataFrame, day: str = "day") -> DataFrame:
@@ -87,7 +87,7 @@ def partition_readiness(
     are required, so an input without any partition blocks all days.
     """
     ready = (
-        exact.where(F.col("table").isin(*exact_names))
+        exact.where(F.col("table_name").isin(*exact_names))
         .distinct()
         .groupBy("day")
         .agg(F.count(F.lit(1)).alias("inputs"))
@@ -97,7 +97,7 @@ def partition_readiness(
     if not slow_names:
         return ready
     starts = (
-        slow.where(F.col("table").isin(*slow_names)).groupBy("table").agg(F.min("day").alias("day"))
+        slow.where(F.col("table_name").isin(*slow_names)).groupBy("table_name").agg(F.min("day").alias("day"))
     )
     covered_from = starts.agg(
         F.when(F.count(F.lit(1)) == len(set(slow_names)), F.max("day")).alias("day")
@@ -147,7 +147,7 @@ def freshness_audit(
         newest = df.agg(F.max(F.col(stamp).cast("timestamp_ntz")).alias("newest"))
         checks.append(
             newest.select(
-                F.lit(name).alias("table"),
+                F.lit(name).alias("table_name"),
                 "newest",
                 limit.alias("oldest_allowed"),
                 F.when(F.col("newest") >= limit, "PASS").otherwise("FAIL").alias("status"),

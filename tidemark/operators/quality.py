@@ -34,11 +34,11 @@ class DataTestFailure(RuntimeError):
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column, failures)``: NULLs of every column, all counted in one pass."""
+    """``(column_name, failures)``: NULLs of every column, all counted in one pass."""
     names = list(columns or df.columns)
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)])
     pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("failures"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("failures"))
         for i, c in enumerate(names)
     ]
     return counted.select(F.inline(F.array(*pairs)))
@@ -61,8 +61,8 @@ def audit(df: DataFrame, table: str, tests: Sequence[DataTest]) -> DataFrame:
         frames.append(
             counts.select(
                 F.lit("not_null").alias("test"),
-                F.col("column").alias("columns"),
-                F.when(F.col("column").isin(*strict), "error").otherwise("warn").alias("severity"),
+                F.col("column_name").alias("column_names"),
+                F.when(F.col("column_name").isin(*strict), "error").otherwise("warn").alias("severity"),
                 "failures",
             )
         )
@@ -72,7 +72,7 @@ def audit(df: DataFrame, table: str, tests: Sequence[DataTest]) -> DataFrame:
             frames.append(
                 repeated.select(
                     F.lit("unique_combination").alias("test"),
-                    F.lit(",".join(test.columns)).alias("columns"),
+                    F.lit(",".join(test.columns)).alias("column_names"),
                     F.lit(test.severity).alias("severity"),
                     "failures",
                 )
@@ -81,7 +81,7 @@ def audit(df: DataFrame, table: str, tests: Sequence[DataTest]) -> DataFrame:
     status = F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "error", "fail").otherwise("warn")
     )
-    return report.select(F.lit(table).alias("table"), "*", status.alias("status"))
+    return report.select(F.lit(table).alias("table_name"), "*", status.alias("status"))
 
 
 def audit_all(tables: Mapping[str, tuple[DataFrame, Sequence[DataTest]]]) -> DataFrame:
@@ -97,7 +97,7 @@ def enforce(report: DataFrame) -> list:
     The report has one row per declared test, so collecting it is bounded by the declarations.
     """
     results = report.collect()
-    failed = [f"{r.table}: {r.test}({r.columns}) {r.failures}" for r in results if r.status == "fail"]
+    failed = [f"{r.table_name}: {r.test}({r.column_names}) {r.failures}" for r in results if r.status == "fail"]
     if failed:
         raise DataTestFailure("; ".join(failed))
     return results
