@@ -28,35 +28,41 @@ def rfm_features(
     )
 
 
-def scaling(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Scalar subquery with mean and population deviation of each column."""
-    stats = [F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in columns]
-    stats += [F.stddev_pop(F.col(c).cast("double")).alias(f"dev_{c}") for c in columns]
-    return df.agg(*stats).select(F.struct("*").alias("stats")).scalar()
-
+def standardize(
+    df: DataFrame, columns: Sequence[str], within: str, suffix: str = "_z"
+) -> DataFrame:
+    """Add columns with zero mean and unit population deviation per ``within`` day.
 
-def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """Add zero-mean, unit-deviation columns; a constant column becomes 0."""
-    stats = scaling(df, columns)
-    for c in columns:
-        deviation = stats.getField(f"dev_{c}")
-        unit = F.when(deviation == 0, F.lit(1.0)).otherwise(deviation)
-        df = df.withColumn(c + suffix, (F.col(c) - stats.getField(f"mean_{c}")) / unit)
-    return df
+    A constant column becomes 0. The statistics have one row per day and are broadcast.
+    """
+    stats = [F.avg(F.col(c).cast("double")).alias(f"_mean_{c}") for c in columns]
+    stats += [F.stddev_pop(F.col(c).cast("double")).alias(f"_dev_{c}") for c in columns]
+    joined = df.join(F.broadcast(df.groupBy(within).agg(*stats)), within)
+    scaled = [
+        (
+            (F.col(c) - F.col(f"_mean_{c}"))
+            / F.when(F.col(f"_dev_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_dev_{c}"))
+        ).alias(c + suffix)
+        for c in columns
+    ]
+    return joined.select(*df.columns, *scaled)
 
 
-def median_of_days(df: DataFrame, column: str) -> Column:
-    """Scalar subquery: exact median of a whole-number column.
+def median_of_days(df: DataFrame, column: str, within: str) -> DataFrame:
+    """``(within, median)``: exact median of a whole-number column per ``within`` day.
 
     Equal values are counted first, so the last step sees one row per distinct day number.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.percentile(column, 0.5, F.col("n"))).scalar()
+    counts = df.where(F.col(column).isNotNull()).groupBy(within, column)
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(within).agg(F.percentile(column, 0.5, F.col("n")).alias("median"))
 
 
 def churn_label(
-    df: DataFrame, recency: str = "recency_days", label: str = "churned"
+    df: DataFrame, within: str, recency: str = "recency_days", label: str = "churned"
 ) -> DataFrame:
-    """1 when recency exceeds both the fixed threshold and the median, else 0."""
-    threshold = F.greatest(F.lit(float(CHURN_RECENCY_DAYS)), median_of_days(df, recency))
-    return df.withColumn(label, (F.col(recency) > threshold).cast("int"))
+    """1 when recency exceeds both the fixed threshold and the day's median, else 0."""
+    joined = df.join(F.broadcast(median_of_days(df, recency, within)), within)
+    threshold = F.greatest(F.lit(float(CHURN_RECENCY_DAYS)), F.col("median"))
+    churned = (F.col(recency) > threshold).cast("int")
+    return joined.select(*df.columns, churned.alias(label))

@@ -26,11 +26,12 @@ def surrogate_key(
     Same result as a ``row_number`` over the whole table, but the sort is spread by range
     over all tasks. The sorted rows are written once, which pins the range bounds; the
     row count of each range is then turned into the number its first row starts from.
-    ``order_by`` is followed by all other columns as tiebreak. A frequent value of the first
-    column is split by the columns after it.
+    Rows with equal ``order_by`` are ordered by a hash of their other columns, so reruns agree
+    and a frequent value is split over ranges; only the sort columns are sampled.
     """
     rest = [c for c in df.columns if c not in {*order_by, *within}]
-    order = [F.col(c).asc_nulls_last() for c in [*within, *order_by, *rest]]
+    order = [F.col(c).asc_nulls_last() for c in [*within, *order_by]]
+    order += [F.xxhash64(*rest).asc()] if rest else []
     spark = df.sparkSession
     ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)

@@ -104,15 +104,19 @@ def enforce(report: DataFrame) -> list:
 
 
 def rowcount_drift(df: DataFrame, day: str, low: float = 0.8, high: float = 1.2) -> DataFrame:
-    """Rows of each day against the calendar day before, which counts as 1 when empty."""
-    counts = df.groupBy(F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("row_count"))
-    before = counts.select(
-        F.date_add("day", 1).alias("day"), F.col("row_count").alias("previous_count")
+    """Rows of each day against the calendar day before, which counts as 1 when empty.
+
+    Each day's count is sent to its own day and to the next one, so the table is read once.
+    """
+    counts = df.where(F.col(day).isNotNull()).groupBy(F.col(day).alias("day"))
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    here = F.struct("day", F.col("n").alias("row_count"), none.alias("previous_count"))
+    onward = F.struct(
+        F.date_add("day", 1).alias("day"), none.alias("row_count"), F.col("n").alias("previous_count")
     )
+    paired = counts.select(F.inline(F.array(here, onward))).groupBy("day")
+    paired = paired.agg(*[F.sum(c).alias(c) for c in ("row_count", "previous_count")])
     ratio = F.col("row_count") / F.greatest(F.col("previous_count"), F.lit(1))
-    return (
-        counts.join(before, "day", "left")
-        .withColumn("previous_count", F.coalesce("previous_count", F.lit(0)).cast("bigint"))
-        .withColumn("ratio", ratio)
-        .withColumn("passed", F.col("ratio").between(low, high))
-    )
+    compared = paired.where(F.col("row_count") > 0).withColumn("ratio", ratio)
+    return compared.withColumn("passed", F.col("ratio").between(low, high))

@@ -120,13 +120,13 @@ def build(
         first, last = product_days[0], product_days[-1]
         rows = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
         rows = rows.where(F.col(SNAPSHOT).isin(product_days))
-        result.loads.append(warehouse.replace_present(name, rows))
+        result.loads.append(warehouse.replace_present(name, rows, first != last))
         _test(warehouse, name, first, last, result)
     for name in ("raw.sales_details", "raw.cust_info", "raw.loc_a101", "raw.prd_info"):
         _test(warehouse, name, start, end, result)
     for name, builder in DAILY_TABLES.items():
         rows = builder(warehouse, start, end, today)
-        result.loads.append(warehouse.replace_present(name, rows))
+        result.loads.append(warehouse.replace_present(name, rows, start != end))
         _test(warehouse, name, start, end, result)
     return result
 

@@ -7,15 +7,18 @@ there is nothing to learn from; the caller then leaves earlier results in place.
 from __future__ import annotations
 
 import logging
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import churn_label
+from tidemark.plans.staging import SNAPSHOT
 
 log = logging.getLogger(__name__)
 
@@ -30,6 +33,9 @@ SEED = 42
 MAX_ITERATIONS = 500
 HIGH_RISK = 0.5
 
+# Restarts that run at a time; each is a series of short jobs over the cached features.
+PARALLEL_FITS = 5
+
 
 def _scaler(df: DataFrame) -> SQLTransformer | None:
     """Stage that standardises the features by their population statistics; None if no rows."""
@@ -51,11 +57,15 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[f"{c}_z" for c in FEATURES], outputCol="features")
 
 
+def _fit(points: DataFrame, k: int, restart: int) -> KMeansModel:
+    return KMeans(k=max(k, 2), seed=SEED + restart, featuresCol="features").fit(points)
+
+
 def customer_segments(rfm: DataFrame, keep: list[str]) -> DataFrame | None:
     """Four k-means clusters, best of ten starts, numbered by the value of their centre.
 
     A centre's value is frequency plus monetary minus recency in scaled units, so a segment
-    id means the same on every day.
+    id means the same on every day. Fewer than four different customers make fewer clusters.
     """
     scaler = _scaler(rfm)
     if scaler is None:
@@ -63,10 +73,11 @@ def customer_segments(rfm: DataFrame, keep: list[str]) -> DataFrame | None:
         return None
     points = _assembler().transform(scaler.transform(rfm)).persist()
     try:
-        fits = [
-            KMeans(k=len(SEGMENT_LABELS), seed=SEED + i, featuresCol="features").fit(points)
-            for i in range(RESTARTS)
-        ]
+        # Also fills the cache, before the fits share it.
+        distinct = points.select(*FEATURES).distinct().limit(len(SEGMENT_LABELS)).count()
+        share = inheritable_thread_target(rfm.sparkSession)
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fits = pool.map(share(lambda i: _fit(points, distinct, i)), range(RESTARTS))
     finally:
         points.unpersist()
     best = min(fits, key=lambda m: m.summary.trainingCost)
@@ -88,11 +99,11 @@ def customer_segments(rfm: DataFrame, keep: list[str]) -> DataFrame | None:
 def churn_predictions(
     rfm: DataFrame, keep: list[str]
 ) -> tuple[DataFrame, PipelineModel] | None:
-    """Churn probability by logistic regression on the recency-based label.
+    """Churn probability by logistic regression on the recency-based label of one day.
 
     The loss is the mean log loss plus an L2 term of weight 1/n, the intercept left out.
     """
-    labelled = churn_label(rfm).persist()
+    labelled = churn_label(rfm, SNAPSHOT).persist()
     try:
         counts = {r.churned: r["count"] for r in labelled.groupBy("churned").count().collect()}
         if len(counts) < 2:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import features, summaries
 from tidemark.operators.latest import latest_per_key_asof
 from tidemark.plans import ml, reporting
+from tidemark.plans.staging import in_days
 from tidemark.queries import query
 from tidemark.queries.inputs import (
     ORDER_LINES_SQL,
@@ -18,6 +21,7 @@ from tidemark.queries.inputs import (
     orders,
     read,
 )
+from tidemark.scratch import materialize
 
 CUSTOMER_SALES_SQL = f"""
     SELECT l.c_custkey, c_name, n_name, c_mktsegment, COUNT(order_number) AS total_orders,
@@ -31,13 +35,16 @@ CUSTOMER_SALES_SQL = f"""
     GROUP BY l.c_custkey, c_name, n_name, c_mktsegment
 """
 
+# Days on which features are taken; each sees the orders up to then.
+FEATURE_DAYS = (dt.date(1996, 12, 31), dt.date(1998, 12, 31), ORDERS_LAST)
+
 RFM_SQL = f"""
-    SELECT o_custkey AS customer_key,
-           CAST(date_diff('day', MAX(CAST(o_orderdate AS DATE)), DATE '{ORDERS_LAST}') AS INTEGER)
-               AS recency_days,
+    SELECT o_custkey AS customer_key, d AS snapshot_date,
+           CAST(date_diff('day', MAX(CAST(o_orderdate AS DATE)), d) AS INTEGER) AS recency_days,
            CAST(COUNT(*) AS INTEGER) AS frequency,
            CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS monetary
-    FROM orders GROUP BY o_custkey
+    FROM orders, (VALUES {", ".join(f"(DATE '{d}')" for d in FEATURE_DAYS)}) v(d)
+    WHERE CAST(o_orderdate AS DATE) <= d GROUP BY o_custkey, d
 """
 
 
@@ -148,13 +155,20 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recency, frequency and monetary value of each customer, from whole orders."""
-    summary = orders(spark, sf_dir).groupBy(F.col("o_custkey").alias("customer_key")).agg(
+    """Recency, frequency and monetary value of each customer on each feature day."""
+    days = F.filter(F.array(*[F.lit(d) for d in FEATURE_DAYS]), lambda d: d >= F.col("day"))
+    seen = orders(spark, sf_dir).select(
+        F.col("o_custkey").alias("customer_key"),
+        "day",
+        cents("o_totalprice").alias("amount"),
+        F.explode(days).alias("snapshot_date"),
+    )
+    summary = seen.groupBy("customer_key", "snapshot_date").agg(
         F.max("day").alias("last_order_date"),
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum(cents("o_totalprice")).alias("total_sales"),
+        F.sum("amount").alias("total_sales"),
     )
-    return features.rfm_features(summary, F.lit(ORDERS_LAST), ["customer_key"])
+    return features.rfm_features(summary, F.col("snapshot_date"), ["customer_key", "snapshot_date"])
 
 
 @query(RFM_SQL)
@@ -164,28 +178,32 @@ def rfm_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     WITH rfm AS ({RFM_SQL}), s AS (
-        SELECT avg(recency_days) AS mr, stddev_pop(recency_days) AS dr, avg(frequency) AS mf,
-               stddev_pop(frequency) AS df, avg(monetary) AS mm, stddev_pop(monetary) AS dm
-        FROM rfm
+        SELECT snapshot_date, avg(recency_days) AS mr, stddev_pop(recency_days) AS dr,
+               avg(frequency) AS mf, stddev_pop(frequency) AS df, avg(monetary) AS mm,
+               stddev_pop(monetary) AS dm
+        FROM rfm GROUP BY 1
     )
-    SELECT customer_key, round((recency_days - mr) / dr, 6) AS recency_days_z,
+    SELECT customer_key, snapshot_date, round((recency_days - mr) / dr, 6) AS recency_days_z,
            round((frequency - mf) / df, 6) AS frequency_z, round((monetary - mm) / dm, 6) AS monetary_z
-    FROM rfm, s
+    FROM rfm JOIN s USING (snapshot_date)
 """)
 def standardize_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = features.standardize(customer_features(spark, sf_dir), ml.FEATURES)
-    return scaled.select("customer_key", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in ml.FEATURES])
+    scaled = features.standardize(customer_features(spark, sf_dir), ml.FEATURES, "snapshot_date")
+    rounded = [F.round(f"{c}_z", 6).alias(f"{c}_z") for c in ml.FEATURES]
+    return scaled.select("customer_key", "snapshot_date", *rounded)
 
 
 @query(f"""
-    WITH rfm AS ({RFM_SQL})
-    SELECT customer_key, recency_days,
-           CAST(recency_days > greatest(90, (SELECT median(recency_days) FROM rfm)) AS INTEGER) AS churned
-    FROM rfm
+    WITH rfm AS ({RFM_SQL}), m AS (
+        SELECT snapshot_date, median(recency_days) AS middle FROM rfm GROUP BY 1
+    )
+    SELECT customer_key, snapshot_date, recency_days,
+           CAST(recency_days > greatest(90, middle) AS INTEGER) AS churned
+    FROM rfm JOIN m USING (snapshot_date)
 """)
 def churn_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = features.churn_label(customer_features(spark, sf_dir))
-    return labelled.select("customer_key", "recency_days", "churned")
+    labelled = features.churn_label(customer_features(spark, sf_dir), "snapshot_date")
+    return labelled.select("customer_key", "snapshot_date", "recency_days", "churned")
 
 
 @query(f"""
@@ -199,12 +217,12 @@ def churn_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     SELECT first_name, last_name, country, segment_label, round(churn_probability, 3) AS churn_prob,
            recency_days, frequency, round(monetary, 0) AS monetary
-    FROM scored WHERE churn_probability >= 0.5
+    FROM scored WHERE churn_probability >= 0.5 AND snapshot_date = DATE '{ORDERS_LAST}'
     ORDER BY churn_probability DESC, customer_key LIMIT 15
 """)
 def high_risk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report over closed-form stand-ins for the two models' outputs."""
-    rfm = customer_features(spark, sf_dir).withColumn("snapshot_date", F.lit(ORDERS_LAST))
+    rfm = materialize(customer_features(spark, sf_dir), "rfm")
     people = read(spark, sf_dir, "customer").join(
         read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -223,12 +241,17 @@ def high_risk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.high_risk_customers(churn, segments, named, ORDERS_LAST)
 
 
+def last_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the newest day as a stored table; models are fitted per day."""
+    return in_days(materialize(customer_features(spark, sf_dir), "rfm"), ORDERS_LAST, ORDERS_LAST)
+
+
 @query(None)
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.customer_segments(customer_features(spark, sf_dir), ["customer_key"])
+    return ml.customer_segments(last_features(spark, sf_dir), ["customer_key"])
 
 
 @query(None)
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predictions, _ = ml.churn_predictions(customer_features(spark, sf_dir), ["customer_key"])
+    predictions, _ = ml.churn_predictions(last_features(spark, sf_dir), ["customer_key"])
     return predictions

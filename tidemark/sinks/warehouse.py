@@ -30,15 +30,19 @@ class LoadStats:
     days: tuple[dt.date, ...]
 
 
-def write_partitions(df: DataFrame, path: str, day: str) -> tuple[int, tuple[dt.date, ...]]:
+def write_partitions(
+    df: DataFrame, path: str, day: str, many_days: bool = True
+) -> tuple[int, tuple[dt.date, ...]]:
     """Replace the partitions present in ``df`` below ``path``; returns rows and days written.
 
-    The rebalance hint gives each partition files of the advisory size: it splits a large
-    day over several tasks and does not scatter a small one over all of them.
+    With ``many_days`` the rows are first rebalanced by day: a large day is split over
+    several tasks, a small one is not scattered over all of them. Rows of one day are
+    written from where they are, without a shuffle.
     """
     written = Observation()
+    placed = df.hint("rebalance", day) if many_days else df
     # Days are observed on the way to the files: one entry per partition at most.
-    observed = df.hint("rebalance", day).observe(
+    observed = placed.observe(
         written, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("days")
     )
     (
@@ -61,7 +65,7 @@ def clear_partition(spark: SparkSession, path: str, day: str, value: dt.date, sc
 def replace_partition_at(df: DataFrame, path: str, day: str, value: dt.date) -> int:
     """Make the partition ``value`` below ``path`` hold exactly ``df``; returns its rows."""
     checked = require_partition(df, day, F.lit(value))
-    rows, _ = write_partitions(checked, path, day)
+    rows, _ = write_partitions(checked, path, day, many_days=False)
     if rows == 0:
         clear_partition(df.sparkSession, path, day, value, df.schema)
     return rows
@@ -117,10 +121,10 @@ class Warehouse:
         self._register(name, (value,))
         return LoadStats(name, rows, (value,))
 
-    def replace_present(self, name: str, df: DataFrame) -> LoadStats:
+    def replace_present(self, name: str, df: DataFrame, many_days: bool = True) -> LoadStats:
         self.create(name)
         rows, days = write_partitions(
-            self._arranged(name, df), self.location(name), partition_column(name)
+            self._arranged(name, df), self.location(name), partition_column(name), many_days
         )
         self._register(name, days)
         return LoadStats(name, rows, days)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.latest import latest_per_key
@@ -18,9 +17,8 @@ from tidemark.sinks.warehouse import LoadStats, Warehouse
 from tidemark.sources.landing import read_snapshots
 from tidemark.sources.routing import route_files
 
-FILE_SCHEMA = T.StructType.fromDDL(
-    "path string, modificationTime timestamp, length bigint, content binary"
-)
+# The fixed schema of the binary file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
