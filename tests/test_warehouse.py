@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 
 from tests.conftest import plan_of, tuples
+from tidemark.operators.partitions import missing_partitions
 from tidemark.schemas import LAYERS, TABLES, partition_column
 from tidemark.sinks.warehouse import Warehouse, replace_partition_at, write_partitions
 
@@ -108,3 +110,40 @@ def test_static_table(warehouse, frame):
     warehouse.replace_static("seeds.PX_CAT_G1V2", rows)
     assert warehouse.table("seeds.PX_CAT_G1V2").count() == 1
     assert partition_column("seeds.PX_CAT_G1V2") is None
+
+
+def test_inventory_comes_from_the_catalog(warehouse, frame):
+    rows = frame([("AW-1", "US", D[0]), ("AW-2", "UK", D[2])], "CID string, CNTRY string, snapshot_date date")
+    warehouse.replace_present("raw.loc_a101", rows)
+    warehouse.create("raw.prd_info")
+    inventory = warehouse.inventory("raw.loc_a101", "raw.prd_info")
+    assert tuples(inventory) == [("raw.loc_a101", D[0]), ("raw.loc_a101", D[2])]
+    assert "FileScan" not in plan_of(inventory)
+    assert tuples(missing_partitions(inventory, D[2], 3)) == [("raw.loc_a101", D[1])]
+
+
+def test_scratch_tables_are_discarded_after_use(spark, frame, tmp_path):
+    from tidemark import scratch
+
+    with scratch.discarding(spark):
+        kept = scratch.materialize(frame([(1, "a", D[0])], SCHEMA), "t")
+        files = kept.inputFiles()
+        write_partitions(kept, str(tmp_path / "t"), "day")
+        assert all(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert stored(spark, str(tmp_path / "t")).count() == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark import scratch
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master="yarn", applicationId="x"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(cluster)
+    cluster.conf.get = lambda name, default: "hdfs:///shared/"
+    assert scratch.scratch_path(cluster, "keys").startswith("hdfs:///shared/tidemark/x/keys-")

@@ -117,17 +117,13 @@ def repair_amounts(df: DataFrame, sales: str, quantity: str, price: str) -> Data
     from quantity x price; a missing or zero price is then derived from sales and quantity,
     which makes the repaired price a double.
     """
-    unsigned = F.abs(F.col(price))
     expected = F.col(quantity) * F.col(price)
-    wrong_sales = F.col(sales).isNull() | (F.col(sales) <= 0) | (F.col(sales) != expected)
-    no_price = F.col(price).isNull() | (F.col(price) == 0)
-    has_quantity = F.col(quantity).isNotNull() & (F.col(quantity) != 0)
-    derived = F.col(sales).cast("double") / F.col(quantity)
+    # An unknown product of quantity and price cannot contradict the sales.
+    consistent = (F.col(sales) > 0) & F.coalesce(F.col(sales) == expected, F.lit(True))
+    usable_price = F.nullif(F.col(price), F.lit(0))
+    per_unit = F.try_divide(F.col(sales).cast("double"), F.col(quantity))
     return (
-        df.withColumn(price, unsigned)
-        .withColumn(sales, F.when(wrong_sales, expected).otherwise(F.col(sales)))
-        .withColumn(
-            price,
-            F.when(no_price & has_quantity, derived).otherwise(F.col(price).cast("double")),
-        )
+        df.withColumn(price, F.abs(F.col(price)))
+        .withColumn(sales, F.when(consistent, F.col(sales)).otherwise(expected))
+        .withColumn(price, F.coalesce(usable_price, per_unit, F.col(price)).cast("double"))
     )

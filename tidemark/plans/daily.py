@@ -15,6 +15,7 @@ from tidemark.plans import marts, ml, reporting, staging
 from tidemark.plans.declared_tests import DECLARED
 from tidemark.plans.staging import MONTH, SNAPSHOT, in_days
 from tidemark.schemas import partition_column
+from tidemark.scratch import discarding
 from tidemark.sinks.warehouse import LoadStats, Warehouse
 from tidemark.sources.landing import read_seed, read_snapshot
 
@@ -125,8 +126,9 @@ def build(
     for name in ("raw.sales_details", "raw.cust_info", "raw.loc_a101", "raw.prd_info"):
         _test(warehouse, name, start, end, result)
     for name, builder in DAILY_TABLES.items():
-        rows = builder(warehouse, start, end, today)
-        result.loads.append(warehouse.replace_present(name, rows, start != end))
+        with discarding(warehouse.spark):
+            rows = builder(warehouse, start, end, today)
+            result.loads.append(warehouse.replace_present(name, rows, start != end))
         _test(warehouse, name, start, end, result)
     return result
 

@@ -63,23 +63,22 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM orders LEFT JOIN customer ON c_custkey = o_custkey
                     LEFT JOIN nation ON n_nationkey = c_nationkey
     )
-    SELECT o_orderkey,
-           CASE WHEN upper(trim(marital)) = 'S' THEN 'Single'
-                WHEN upper(trim(marital)) = 'M' THEN 'Married' ELSE 'N/A' END AS marital_status,
-           CASE WHEN upper(trim(gender)) = 'F' THEN 'Female'
-                WHEN upper(trim(gender)) = 'M' THEN 'Male' ELSE 'N/A' END AS gender_of_code,
-           CASE WHEN upper(trim(gender)) IN ('F', 'FEMALE') THEN 'Female'
-                WHEN upper(trim(gender)) IN ('M', 'MALE') THEN 'Male' ELSE 'N/A' END AS gender_of_word,
-           CASE upper(trim(line)) WHEN 'M' THEN 'Mountain' WHEN 'R' THEN 'Road'
-                WHEN 'S' THEN 'Other Sales' WHEN 'T' THEN 'Touring' ELSE 'N/A' END AS product_line,
-           CASE WHEN upper(trim(country)) IN ('US', 'USA', 'UNITED STATES OF AMERICA')
-                     THEN 'United States'
-                WHEN upper(trim(country)) = 'UK' THEN 'United Kingdom'
-                WHEN upper(trim(country)) = 'DE' THEN 'Germany'
-                WHEN upper(trim(country)) = 'FR' THEN 'France'
-                WHEN country IS NULL OR upper(trim(country)) IN ('N/A', '') THEN 'N/A'
-                ELSE trim(country) END AS country
+    SELECT o_orderkey, COALESCE(ms.label, 'N/A') AS marital_status,
+           COALESCE(gc.label, 'N/A') AS gender_of_code, COALESCE(gw.label, 'N/A') AS gender_of_word,
+           COALESCE(pl.label, 'N/A') AS product_line,
+           COALESCE(cn.label, NULLIF(CASE upper(trim(country)) WHEN 'N/A' THEN '' ELSE trim(country) END, ''),
+                    'N/A') AS country
     FROM raw
+    LEFT JOIN (VALUES ('S', 'Single'), ('M', 'Married')) ms(code, label) ON ms.code = upper(trim(marital))
+    LEFT JOIN (VALUES ('F', 'Female'), ('M', 'Male')) gc(code, label) ON gc.code = upper(trim(gender))
+    LEFT JOIN (VALUES ('F', 'Female'), ('FEMALE', 'Female'), ('M', 'Male'), ('MALE', 'Male'))
+              gw(code, label) ON gw.code = upper(trim(gender))
+    LEFT JOIN (VALUES ('M', 'Mountain'), ('R', 'Road'), ('S', 'Other Sales'), ('T', 'Touring'))
+              pl(code, label) ON pl.code = upper(trim(line))
+    LEFT JOIN (VALUES ('US', 'United States'), ('USA', 'United States'),
+                      ('UNITED STATES OF AMERICA', 'United States'), ('UK', 'United Kingdom'),
+                      ('DE', 'Germany'), ('FR', 'France')) cn(code, label)
+              ON cn.code = upper(trim(country))
 """)
 def standardize_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -237,17 +236,14 @@ def guarded_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN l_linenumber = 2 THEN 0 WHEN l_linenumber = 3 THEN NULL
                     ELSE CAST(l_linenumber AS BIGINT) END AS price
         FROM lineitem
-    ), priced AS (
-        SELECT * REPLACE (CASE WHEN price < 0 THEN abs(price) ELSE price END AS price) FROM raw
     ), sold AS (
-        SELECT * REPLACE (CASE WHEN sales IS NULL OR sales <= 0 OR sales != quantity * price
-                               THEN quantity * price ELSE sales END AS sales) FROM priced
+        SELECT * REPLACE (abs(price) AS price,
+                          CASE WHEN sales > 0 AND (sales = quantity * abs(price)) IS NOT FALSE
+                               THEN sales ELSE quantity * abs(price) END AS sales)
+        FROM raw
     )
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sales, quantity,
-           CAST(CASE WHEN price IS NULL OR price = 0
-                     THEN CASE WHEN quantity IS NOT NULL AND quantity != 0
-                               THEN sales / quantity ELSE price END
-                     ELSE price END AS DOUBLE) AS price
+           CAST(COALESCE(NULLIF(price, 0), sales / NULLIF(quantity, 0), price) AS DOUBLE) AS price
     FROM sold
 """)
 def repair_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,7 @@ def raw_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type") != "PROMO", F.round("p_retailprice").cast("int")).alias("prd_cost"),
         decode(F.col("p_size") % 5, {0: "m ", 1: " R", 2: "S", 3: "t"}, "").alias("prd_line"),
         F.date_add(F.lit(dt.date(1990, 1, 1)), (F.col("p_partkey") * 13 % 3000).cast("int")).alias("prd_start_dt"),
+        F.lit(None).cast("date").alias("prd_end_dt"),
         F.explode(months).alias("snapshot_month"),
     )
 
@@ -208,14 +209,13 @@ WAREHOUSE_SQL = f"""
                CASE l_linenumber WHEN 2 THEN 0 WHEN 3 THEN NULL ELSE l_linenumber END AS price
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
     ), repaired_sales AS (
-        SELECT *, CASE WHEN sales IS NULL OR sales <= 0 OR sales <> quantity * price
-                       THEN quantity * price ELSE sales END AS fixed
+        SELECT *, CASE WHEN sales > 0 AND (sales = quantity * price) IS NOT FALSE
+                       THEN sales ELSE quantity * price END AS fixed
         FROM typed_sales
     ), stg_sales AS (
         SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt,
                CAST(fixed AS INTEGER) AS sls_sales, quantity AS sls_quantity,
-               CAST(CASE WHEN COALESCE(price, 0) = 0 AND quantity <> 0 THEN fixed / quantity
-                         ELSE price END AS DOUBLE) AS sls_price,
+               CAST(COALESCE(NULLIF(price, 0), fixed / NULLIF(quantity, 0), price) AS DOUBLE) AS sls_price,
                DATE '{DAY}' AS snapshot_date
         FROM repaired_sales
     ), person AS (
@@ -291,23 +291,28 @@ def _staged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.where(F.col("snapshot_date").isin(*MONTHS))
 
 
-def _tables(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
-    customers = marts.dim_customers(
+def _customers(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> DataFrame:
+    return marts.dim_customers(
         staging.crm_cust_info(raw_cust_info(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST),
         staging.erp_cust_az12(seed_cust_az12(spark, sf_dir), start, end, today=DAY),
         staging.erp_loc_a101(raw_loc_a101(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST),
         start,
         end,
     )
+
+
+def _history(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> DataFrame:
     taxonomy = staging.erp_px_cat(seed_px_cat(spark, sf_dir), start, end)
-    history = marts.dim_products_history(_staged_products(spark, sf_dir), taxonomy, start, end)
-    return {"customers": customers, "products": marts.dim_products(history, start, end)}
+    return marts.dim_products_history(_staged_products(spark, sf_dir), taxonomy, start, end)
+
+
+def _products(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> DataFrame:
+    return marts.dim_products(_history(spark, sf_dir, start, end), start, end)
 
 
-def _sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    dims = _tables(spark, sf_dir, DAY, DAY)
+def _sales(spark: SparkSession, sf_dir: str, products: DataFrame, customers: DataFrame) -> DataFrame:
     sales = staging.crm_sales_details(raw_sales_details(spark, sf_dir), DAY, DAY)
-    return marts.fct_sales(sales, dims["products"], dims["customers"], DAY, DAY), dims
+    return marts.fct_sales(sales, products, customers, DAY, DAY)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -347,35 +352,37 @@ def table_stg_erp_px_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM dim_customers")
 def table_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_tables(spark, sf_dir, FIRST_DAY, DAY)["customers"])
+    return _plain(_customers(spark, sf_dir, FIRST_DAY, DAY))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM dim_products_history")
 def table_dim_products_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taxonomy = staging.erp_px_cat(seed_px_cat(spark, sf_dir), FIRST_DAY, DAY)
-    return _plain(marts.dim_products_history(_staged_products(spark, sf_dir), taxonomy, FIRST_DAY, DAY))
+    return _plain(_history(spark, sf_dir, FIRST_DAY, DAY))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM dim_products")
 def table_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_tables(spark, sf_dir, FIRST_DAY, DAY)["products"])
+    return _plain(_products(spark, sf_dir, FIRST_DAY, DAY))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM fct_sales")
 def table_fct_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_sales(spark, sf_dir)[0])
+    products, customers = _products(spark, sf_dir, DAY, DAY), _customers(spark, sf_dir, DAY, DAY)
+    return _plain(_sales(spark, sf_dir, products, customers))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM rpt_customer")
 def table_rpt_sales_summary_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dims = _sales(spark, sf_dir)
-    return reporting.sales_summary_by_customer(fact, dims["customers"], DAY, DAY)
+    products, customers = _products(spark, sf_dir, DAY, DAY), _customers(spark, sf_dir, DAY, DAY)
+    fact = _sales(spark, sf_dir, products, customers)
+    return reporting.sales_summary_by_customer(fact, customers, DAY, DAY)
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM rpt_product")
 def table_rpt_sales_performance_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dims = _sales(spark, sf_dir)
-    report = reporting.sales_performance_by_product(fact, dims["products"], DAY, DAY)
+    products, customers = _products(spark, sf_dir, DAY, DAY), _customers(spark, sf_dir, DAY, DAY)
+    fact = _sales(spark, sf_dir, products, customers)
+    report = reporting.sales_performance_by_product(fact, products, DAY, DAY)
     return report.withColumn("avg_unit_price", F.round("avg_unit_price", 6))
 
 

@@ -6,12 +6,20 @@ costs a re-read and never a recomputation with different partition bounds.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.files import delete_folder
+
+
+_created: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("created", default=None)
+
 
 @functools.cache
 def _local_folder(application_id: str) -> str:
@@ -31,7 +39,28 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused between calls."""
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tidemark/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{application}/{label}-{uuid.uuid4().hex}"
+    created = _created.get()
+    if created is not None:
+        created.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving the block, the scratch tables that were written inside it.
+
+    For jobs that write their final result inside the block. A frame returned from it may
+    still need its scratch table.
+    """
+    created: list[str] = []
+    token = _created.set(created)
+    try:
+        yield
+    finally:
+        _created.reset(token)
+        for path in created:
+            delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import make_folder
 from tidemark.schemas import LAYERS, TABLES, partition_column, table_schema
 from tidemark.sources.landing import require_partition
 
@@ -95,14 +97,26 @@ class Warehouse:
                 f"LOCATION '{self.location(name)}'"
             )
             if day:
-                # Appending no rows makes sure that the folder exists.
-                none = self.spark.createDataFrame([], table_schema(name))
-                none.write.mode("append").partitionBy(day).parquet(self.location(name))
+                make_folder(self.spark, self.location(name))
                 self.spark.catalog.recoverPartitions(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
+    def inventory(self, *names: str) -> DataFrame:
+        """``(table_name, day)`` of the stored partitions, from the catalog alone.
+
+        No file is opened. A partition that was cleared counts as stored.
+        """
+        frames = [
+            self.spark.sql(f"SHOW PARTITIONS {name}").select(
+                F.lit(name).alias("table_name"),
+                F.to_date(F.substring_index("partition", "=", -1)).alias("day"),
+            )
+            for name in names
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
     def _arranged(self, name: str, df: DataFrame) -> DataFrame:
         """Columns by name, in table order and type."""
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema(name)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,10 @@ from tidemark.schemas import partition_column, table_schema
 from tidemark.sources.routing import DAILY_PREFIXES, MONTHLY_PREFIXES, route_files
 
 
+# Header lines that are read at a time; each is a one-task job over one line.
+PARALLEL_HEADERS = 16
+
+
 class MissingSnapshot(FileNotFoundError):
     """The file of a requested partition does not exist."""
 
@@ -82,9 +87,12 @@ def read_snapshots(spark: SparkSession, source: str, paths: Sequence[str]) -> Da
     table = f"raw.{source}"
     schema = table_schema(table)
     column = partition_column(table)
+    with ThreadPool(PARALLEL_HEADERS) as pool:
+        headers = pool.map(
+            lambda path: tuple(spark.read.option("header", True).csv(path).columns), paths
+        )
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.option("header", True).csv(path).columns)
+    for header, path in zip(headers, paths):
         by_header.setdefault(header, []).append(path)
     frames = []
     for header, group in by_header.items():
