@@ -9,7 +9,7 @@ import pytest
 from tests.conftest import tuples
 from tests.files import write_csv
 from tidemark.operators.quality import DataTestFailure
-from tidemark.plans import daily, reporting
+from tidemark.plans import daily, reporting, staging
 from tidemark.schemas import LAYERS, TABLES
 from tidemark.sinks.warehouse import Warehouse
 
@@ -289,6 +289,22 @@ def test_day_by_day_equals_range_and_new_month_supersedes(spark, built, tmp_path
     assert len(rows_of(warehouse, "mart.dim_customers", MAY, "customer_key")) == 5
 
 
+def test_monthly_files_with_changes_only(frame):
+    rows = [
+        (1, "AC-HE-X", "old", 1, "R", dt.date(2011, 7, 1), D1), (2, "AC-HE-Y", "kept", 2, "M", dt.date(2011, 7, 1), D1),
+        (1, "AC-HE-X", "new", 9, "R", dt.date(2011, 7, 1), MAY), (3, "AC-HE-Y", "next", 3, "M", dt.date(2012, 7, 1), MAY),
+    ]
+    raw = frame(rows, "prd_id int, prd_key string, prd_nm string, prd_cost int, prd_line string, prd_start_dt date, snapshot_month date")
+    eve = MAY - dt.timedelta(days=1)
+    carried = staging.crm_prd_info(raw, eve, MAY, changes_only=True)
+    assert tuples(carried.select("snapshot_date", "prd_id", "prd_nm", "prd_end_dt")) == [
+        (eve, 1, "old", None), (eve, 2, "kept", None),
+        (MAY, 1, "new", None), (MAY, 2, "kept", dt.date(2012, 6, 30)), (MAY, 3, "next", None),
+    ]
+    full = staging.crm_prd_info(raw, eve, MAY)
+    assert tuples(full.select("snapshot_date", "prd_id")) == [(eve, 1), (eve, 2), (MAY, 1), (MAY, 3)]
+
+
 def test_failed_test_stops_the_build(spark, tmp_path):
     forget(spark)
     warehouse = prepare(spark, tmp_path)

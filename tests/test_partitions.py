@@ -50,6 +50,14 @@ def test_unbuilt_partitions(frame):
     assert tuples(p.unbuilt_partitions(candidates, built)) == [(D[1],)]
 
 
+def test_due_partitions_of_any_input(frame):
+    inv = inventory(frame, [("a", d) for d in D[:5]] + [("b", D[7]), ("c", D[9]), ("built", D[4])])
+    candidates = p.days_of_any(inv, ["a", "b"])
+    assert tuples(candidates) == [(d,) for d in [*D[:5], D[7]]]
+    due = p.due_partitions(candidates, p.days_of_any(inv, ["built"]), recent=4)
+    assert tuples(due) == [(D[2],), (D[3],), (D[7],)]
+
+
 def test_readiness_needs_every_exact_and_covering_slow_inputs(frame):
     exact = inventory(frame, [("a", d) for d in D[:6]] + [("b", d) for d in D[2:8]])
     slow = inventory(frame, [("m", D[4]), ("m", D[20]), ("n", D[0])])

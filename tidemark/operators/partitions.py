@@ -105,6 +105,18 @@ def partition_readiness(
     return ready.where(F.col("day") >= covered_from.scalar())
 
 
+def days_of_any(inventory: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Days held by at least one of the named tables."""
+    return inventory.where(F.col("table_name").isin(*names)).select("day").distinct()
+
+
+def due_partitions(
+    candidates: DataFrame, built: DataFrame, recent: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """Of the newest ``recent`` candidate days, those that the target does not hold yet."""
+    return unbuilt_partitions(recent_partitions(candidates, recent), built)
+
+
 @dataclass(frozen=True)
 class Freshness:
     """Newest data must not be older than ``hours`` before the last deadline.
@@ -143,7 +155,8 @@ def freshness_audit(
     """Newest timestamp of each table against the oldest one its deadline allows."""
     checks = []
     for name, (df, stamp, rule) in tables.items():
-        limit = F.lit(rule.oldest_allowed(now)).cast("timestamp_ntz")
+        # By way of text, so that the session's time zone plays no part.
+        limit = F.lit(rule.oldest_allowed(now).isoformat(sep=" ")).cast("timestamp_ntz")
         newest = df.agg(F.max(F.col(stamp).cast("timestamp_ntz")).alias("newest"))
         checks.append(
             newest.select(

@@ -5,7 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from tidemark.operators.timeline import partition_days
 from tidemark.plans import marts, ml, reporting, staging
 from tidemark.plans.declared_tests import DECLARED
 from tidemark.plans.staging import MONTH, SNAPSHOT, in_days
-from tidemark.schemas import partition_column
+from tidemark.schemas import RAW_TABLES, partition_column
 from tidemark.scratch import discarding
 from tidemark.sinks.warehouse import LoadStats, Warehouse
 from tidemark.sources.landing import read_seed, read_snapshot
@@ -104,6 +107,38 @@ DAILY_TABLES: dict[str, Builder] = {
 }
 
 
+# Tables of one step do not read each other and are built side by side.
+STEPS: tuple[tuple[str, ...], ...] = (
+    tuple(name for name in DAILY_TABLES if name.startswith("staging.")),
+    ("mart.dim_customers", "mart.dim_products_history"),
+    ("mart.dim_products",),
+    ("mart.fct_sales",),
+    tuple(name for name in DAILY_TABLES if name.startswith("reporting.")),
+    ("ml_features.customer_rfm",),
+)
+
+
+def _stage_products(
+    warehouse: Warehouse, start: dt.date, end: dt.date, result: BuildResult
+) -> None:
+    """Stage the products of the months that are due, on the first day of each."""
+    days = _product_days(warehouse, start, end)
+    if not days:
+        return
+    name, first, last = "staging.stg_crm_prd_info", days[0], days[-1]
+    rows = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
+    rows = rows.where(F.col(SNAPSHOT).isin(days))
+    result.loads.append(warehouse.replace_present(name, rows, first != last))
+    _test(warehouse, name, first, last, result)
+
+
+def _side_by_side(warehouse: Warehouse, tasks: list[Callable[[], None]]) -> None:
+    """Run the jobs of independent tables together; the first failure is raised at the end."""
+    share = inheritable_thread_target(warehouse.spark)
+    with ThreadPool(len(tasks)) as pool:
+        pool.map(share(lambda task: task()), tasks)
+
+
 def build(
     warehouse: Warehouse, start: dt.date, end: dt.date | None = None, today: dt.date | None = None
 ) -> BuildResult:
@@ -112,24 +147,24 @@ def build(
     Each table is written, then tested; tables below a failed test are not built. Days in
     range are replaced, all others stay as they are.
     """
-    end = end or start
+    last = end or start
     result = BuildResult()
     warehouse.create()
-    product_days = _product_days(warehouse, start, end)
-    if product_days:
-        name = "staging.stg_crm_prd_info"
-        first, last = product_days[0], product_days[-1]
-        rows = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
-        rows = rows.where(F.col(SNAPSHOT).isin(product_days))
-        result.loads.append(warehouse.replace_present(name, rows, first != last))
-        _test(warehouse, name, first, last, result)
-    for name in ("raw.sales_details", "raw.cust_info", "raw.loc_a101", "raw.prd_info"):
-        _test(warehouse, name, start, end, result)
-    for name, builder in DAILY_TABLES.items():
+
+    def test_raw() -> None:
+        for name in RAW_TABLES:
+            _test(warehouse, name, start, last, result)
+
+    def table(name: str) -> None:
         with discarding(warehouse.spark):
-            rows = builder(warehouse, start, end, today)
-            result.loads.append(warehouse.replace_present(name, rows, start != end))
-        _test(warehouse, name, start, end, result)
+            rows = DAILY_TABLES[name](warehouse, start, last, today)
+            result.loads.append(warehouse.replace_present(name, rows, start != last))
+        _test(warehouse, name, start, last, result)
+
+    sources = [test_raw, lambda: _stage_products(warehouse, start, last, result)]
+    for step in STEPS:
+        _side_by_side(warehouse, sources + [partial(table, name) for name in step])
+        sources = []
     return result
 
 

@@ -15,6 +15,7 @@ from tidemark.functions import cleansing as c
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.timeline import (
     bridge_to_days,
+    daily_state,
     partition_days,
     reachable_snapshots,
     scd2_close_out,
@@ -51,13 +52,27 @@ def crm_cust_info(raw: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return with_load_time(latest_per_key(cleaned, ["cst_id", SNAPSHOT], ["cst_create_date"]))
 
 
-def crm_prd_info(raw: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def crm_prd_info(
+    raw: DataFrame, start: dt.date, end: dt.date, changes_only: bool = False
+) -> DataFrame:
     """Products of the monthly snapshot in effect on each day, with derived end dates.
 
-    Versions are closed out once per monthly snapshot and then spread over its days.
+    A monthly file is the whole product list: versions are closed out once per snapshot and
+    then spread over its days. With ``changes_only`` a file holds only new or changed
+    products, and earlier months carry forward.
     """
+    if changes_only:
+        typed = _typed_products(raw.where(F.col(MONTH) <= F.lit(end)))
+        daily = daily_state(typed, ["prd_id"], MONTH, start, end, state_day=SNAPSHOT).drop(MONTH)
+        return with_load_time(_closed_products(daily, SNAPSHOT))
     months = partition_days(raw, MONTH)
-    typed = reachable_snapshots(raw, MONTH, months, start, end).select(
+    typed = _typed_products(reachable_snapshots(raw, MONTH, months, start, end))
+    daily = bridge_to_days(_closed_products(typed, MONTH), MONTH, SNAPSHOT, start, end, known=months)
+    return with_load_time(daily.drop(MONTH))
+
+
+def _typed_products(raw: DataFrame) -> DataFrame:
+    return raw.select(
         F.col("prd_id").cast("int").alias("prd_id"),
         c.key_head(F.col("prd_key")).alias("cat_id"),
         c.key_tail(F.col("prd_key")).alias("prd_key"),
@@ -67,16 +82,12 @@ def crm_prd_info(raw: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
         F.col("prd_start_dt").cast("date").alias("prd_start_dt"),
         F.col(MONTH).cast("date").alias(MONTH),
     )
-    closed = scd2_close_out(
-        typed,
-        keys=[MONTH, "prd_key"],
-        start="prd_start_dt",
-        tiebreak=["prd_id"],
-        end="prd_end_dt",
-        current=None,
+
+
+def _closed_products(products: DataFrame, within: str) -> DataFrame:
+    return scd2_close_out(
+        products, [within, "prd_key"], "prd_start_dt", ["prd_id"], end="prd_end_dt", current=None
     )
-    daily = bridge_to_days(closed, MONTH, SNAPSHOT, start, end, known=months)
-    return with_load_time(daily.drop(MONTH))
 
 
 def crm_sales_details(raw: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

@@ -136,6 +136,22 @@ def unbuilt_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitions.unbuilt_partitions(finished, sales.where(F.col("o_orderstatus") == "O"))
 
 
+@query("""
+    WITH candidates AS (
+        SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
+        WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') ORDER BY day DESC LIMIT 100
+    )
+    SELECT day FROM candidates WHERE day NOT IN (
+        SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '5-LOW'
+    )
+""")
+def due_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the last hundred days with an urgent or high order, those without a low one."""
+    inventory = orders(spark, sf_dir).select(F.col("o_orderpriority").alias("table_name"), "day")
+    candidates = partitions.days_of_any(inventory, ["1-URGENT", "2-HIGH"])
+    return partitions.due_partitions(candidates, partitions.days_of_any(inventory, ["5-LOW"]), 100)
+
+
 @query("""
     WITH days AS (
         SELECT CAST(o_orderdate AS DATE) AS day FROM orders

@@ -49,23 +49,23 @@ def latest_per_key_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders
-               WHERE o_orderstatus <> 'P')
+    WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders)
     SELECT o.* FROM o
     WHERE day = (SELECT max(day) FROM o WHERE day <= DATE '{ORDERS_AS_OF}')
 """)
 def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of the newest order day on or before a date."""
-    done = orders(spark, sf_dir).where(F.col("o_orderstatus") != "P")
-    return latest.latest_partition(done.select("o_orderkey", "o_custkey", "day"), "day", ORDERS_AS_OF)
+    rows = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "day")
+    return latest.latest_partition(rows, "day", ORDERS_AS_OF)
 
 
 @query(f"""
     WITH snapshots AS (
-        SELECT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS effective_month, l_returnflag,
+        SELECT CASE WHEN month(l_shipdate) <= 3 THEN make_date(year(l_shipdate), 1, 1)
+                    ELSE make_date(year(l_shipdate), 4, 1) END AS effective_month, l_returnflag,
                COUNT(*) AS snapshot_lines,
                CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS snapshot_cents
-        FROM lineitem WHERE month(l_shipdate) <= 6 GROUP BY 1, 2
+        FROM lineitem GROUP BY 1, 2
     ), days AS (
         SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders_of_day FROM orders GROUP BY 1
     ), effective AS (
@@ -81,18 +81,18 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order day beside the irregular snapshot in effect that day.
 
-    Snapshots are taken in the first two quarters of a year only, so the second one stays
-    in effect until January.
+    Two snapshots a year sum up the lines shipped in its first quarter and after it. They
+    take effect on the first day of January and of April.
     """
-    lines = read(spark, sf_dir, "lineitem").where(F.month("l_shipdate") <= 6)
-    snapshots = lines.groupBy(
-        F.trunc(F.to_date("l_shipdate"), "quarter").alias("effective_month"), "l_returnflag"
-    ).agg(
+    lines = read(spark, sf_dir, "lineitem")
+    quarter = F.trunc(F.to_date("l_shipdate"), "quarter")
+    april = F.add_months(F.trunc(F.to_date("l_shipdate"), "year"), 3)
+    snapshots = lines.groupBy(F.least(quarter, april).alias("effective_month"), "l_returnflag").agg(
         F.count(F.lit(1)).alias("snapshot_lines"),
         F.sum(cents("l_extendedprice")).alias("snapshot_cents"),
     )
     # Dates of the snapshots come from the one column they depend on, not from the aggregate.
-    dates = lines.select(F.trunc(F.to_date("l_shipdate"), "quarter").alias("effective_month"))
+    dates = lines.select(F.least(quarter, april).alias("effective_month"))
     daily = timeline.bridge_to_days(
         snapshots,
         "effective_month",

@@ -16,6 +16,7 @@ from tidemark.functions.cleansing import decode
 from tidemark.plans import marts, reporting, staging
 from tidemark.queries import query
 from tidemark.queries.inputs import ORDERS_AS_OF, ORDERS_FIRST, ORDERS_LAST, orders, read
+from tidemark.scratch import materialize
 
 DAY = ORDERS_AS_OF
 FIRST_DAY = DAY - dt.timedelta(days=2)
@@ -287,8 +288,9 @@ WAREHOUSE_SQL = f"""
 
 def _staged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products staged on the first days of the two months, as a daily build leaves them."""
-    staged = staging.crm_prd_info(raw_prd_info(spark, sf_dir), MONTHS[0], MONTHS[-1])
-    return staged.where(F.col("snapshot_date").isin(*MONTHS))
+    raw = raw_prd_info(spark, sf_dir)
+    first, second = [staging.crm_prd_info(raw, month, month) for month in MONTHS]
+    return materialize(first.unionByName(second), "products")
 
 
 def _customers(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> DataFrame:
