@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleansing as c
 from tidemark.operators.timeline import stamp_days
 from tidemark.queries import query
-from tidemark.queries.inputs import EVENTS_AS_OF, EVENTS_LAST, ORDERS_AS_OF, cents, orders, read
+from tidemark.queries.inputs import (
+    EVENTS_AS_OF,
+    EVENTS_LAST,
+    ORDERS_AS_OF,
+    cents,
+    day_number,
+    orders,
+    read,
+)
 from tidemark.sources.landing import stamp_partition as fill_partition
 
 
@@ -115,7 +123,7 @@ def standardize_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE l_linestatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Filled' ELSE 'N/A' END
                AS status_label,
            COALESCE(CASE WHEN p_type <> 'PROMO'
-                         THEN CAST(round(p_retailprice * 100) AS BIGINT) END, 0) AS cost
+                         THEN CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) END, 0) AS cost
     FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
 """)
 def decode_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,17 +212,17 @@ def normalize_key_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def guarded_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict parsing of guarded numbers, lenient parsing of numbers with impossible months."""
     sales = orders(spark, sf_dir)
-    full = F.date_format("day", "yyyyMMdd")
     rank = F.substring("o_orderpriority", 1, 1)
+    year, month = F.year("day"), F.month("day")
+    unfinished = F.col("o_orderstatus") == "P"
     stamp = (
-        F.when(rank == "1", full)
-        .when(rank == "2", F.lit("0"))
+        F.when(rank == "1", day_number("day"))
+        .when(rank == "2", F.lit(0))
         .when(rank == "3", F.lit(None))
-        .when(rank == "4", F.concat(F.lit("-"), F.date_format("day", "yyyyMM"), F.lit("0")))
-        .when(F.col("o_orderstatus") == "P", F.date_format("day", "yyyyMM"))
-        .otherwise(full)
-    )
-    swapped = F.date_format("day", "yyyyddMM")
+        .when(rank == "4", -(year * 1000 + month * 10))
+        .otherwise(F.when(unfinished, year * 100 + month).otherwise(day_number("day")))
+    ).cast("string")
+    swapped = (year * 10000 + F.dayofmonth("day") * 100 + month).cast("string")
     return sales.select(
         "o_orderkey",
         c.guarded_date(stamp).alias("order_day"),

@@ -19,6 +19,7 @@ from tidemark.queries.inputs import (
     orders,
     read,
 )
+from tidemark.scratch import materialize
 
 LOG = "SELECT user_id, ts, event_id, event_type, value, CAST(ts AS DATE) AS day FROM events"
 
@@ -64,7 +65,7 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT CASE WHEN month(l_shipdate) <= 3 THEN make_date(year(l_shipdate), 1, 1)
                     ELSE make_date(year(l_shipdate), 4, 1) END AS effective_month, l_returnflag,
                COUNT(*) AS snapshot_lines,
-               CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS snapshot_cents
+               CAST(SUM(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS BIGINT) AS snapshot_cents
         FROM lineitem GROUP BY 1, 2
     ), days AS (
         SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders_of_day FROM orders GROUP BY 1
@@ -85,22 +86,17 @@ def asof_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     take effect on the first day of January and of April.
     """
     lines = read(spark, sf_dir, "lineitem")
-    quarter = F.trunc(F.to_date("l_shipdate"), "quarter")
-    april = F.add_months(F.trunc(F.to_date("l_shipdate"), "year"), 3)
-    snapshots = lines.groupBy(F.least(quarter, april).alias("effective_month"), "l_returnflag").agg(
-        F.count(F.lit(1)).alias("snapshot_lines"),
-        F.sum(cents("l_extendedprice")).alias("snapshot_cents"),
+    # By day first: calendar arithmetic then runs once per day and not once per line.
+    by_day = lines.groupBy(F.to_date("l_shipdate").alias("shipped"), "l_returnflag").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(cents("l_extendedprice")).alias("cents")
     )
-    # Dates of the snapshots come from the one column they depend on, not from the aggregate.
-    dates = lines.select(F.least(quarter, april).alias("effective_month"))
-    daily = timeline.bridge_to_days(
-        snapshots,
-        "effective_month",
-        "day",
-        ORDERS_FIRST,
-        ORDERS_LAST,
-        known=timeline.partition_days(dates, "effective_month"),
+    april = F.add_months(F.trunc("shipped", "year"), 3)
+    month = F.least(F.trunc("shipped", "quarter"), april).alias("effective_month")
+    snapshots = by_day.groupBy(month, "l_returnflag").agg(
+        F.sum("lines").alias("snapshot_lines"), F.sum("cents").alias("snapshot_cents")
     )
+    stored = materialize(snapshots, "snapshots")
+    daily = timeline.bridge_to_days(stored, "effective_month", "day", ORDERS_FIRST, ORDERS_LAST)
     days = orders(spark, sf_dir).groupBy("day").agg(F.count(F.lit(1)).alias("orders_of_day"))
     return days.join(daily, "day")
 

@@ -42,7 +42,7 @@ RFM_SQL = f"""
     SELECT o_custkey AS customer_key, d AS snapshot_date,
            CAST(date_diff('day', MAX(CAST(o_orderdate AS DATE)), d) AS INTEGER) AS recency_days,
            CAST(COUNT(*) AS INTEGER) AS frequency,
-           CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS monetary
+           CAST(SUM(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) AS monetary
     FROM orders, (VALUES {", ".join(f"(DATE '{d}')" for d in FEATURE_DAYS)}) v(d)
     WHERE CAST(o_orderdate AS DATE) <= d GROUP BY o_custkey, d
 """
@@ -156,18 +156,23 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recency, frequency and monetary value of each customer on each feature day."""
-    days = F.filter(F.array(*[F.lit(d) for d in FEATURE_DAYS]), lambda d: d >= F.col("day"))
-    seen = orders(spark, sf_dir).select(
-        F.col("o_custkey").alias("customer_key"),
-        "day",
-        cents("o_totalprice").alias("amount"),
-        F.explode(days).alias("snapshot_date"),
-    )
-    summary = seen.groupBy("customer_key", "snapshot_date").agg(
-        F.max("day").alias("last_order_date"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("amount").alias("total_sales"),
+    log = orders(spark, sf_dir).select(
+        F.col("o_custkey").alias("customer_key"), "day", cents("o_totalprice").alias("amount")
     )
+    # All feature days in one aggregate, so that no order is multiplied before the shuffle.
+    totals = []
+    for d in FEATURE_DAYS:
+        seen = F.col("day") <= F.lit(d)
+        totals.append(
+            F.struct(
+                F.lit(d).alias("snapshot_date"),
+                F.max(F.when(seen, F.col("day"))).alias("last_order_date"),
+                F.count_if(seen).alias("total_orders"),
+                F.sum(F.when(seen, F.col("amount"))).alias("total_sales"),
+            )
+        )
+    per_customer = log.groupBy("customer_key").agg(F.array(*totals).alias("totals"))
+    summary = per_customer.select("customer_key", F.inline("totals"))
     return features.rfm_features(summary, F.col("snapshot_date"), ["customer_key", "snapshot_date"])
 
 

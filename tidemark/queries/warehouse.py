@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleansing import decode
 from tidemark.plans import marts, reporting, staging
 from tidemark.queries import query
-from tidemark.queries.inputs import ORDERS_AS_OF, ORDERS_FIRST, ORDERS_LAST, orders, read
+from tidemark.queries.inputs import (
+    ORDERS_AS_OF,
+    ORDERS_FIRST,
+    ORDERS_LAST,
+    day_number,
+    orders,
+    read,
+)
 from tidemark.scratch import materialize
 
 DAY = ORDERS_AS_OF
@@ -99,7 +106,7 @@ def seed_px_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem")
+    lines = read(spark, sf_dir, "lineitem").withColumn("shipped", F.to_date("l_shipdate"))
     heads = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "day")
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).join(
@@ -108,9 +115,9 @@ def raw_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("int")
     ship = (
-        F.when(number == 1, F.lit("0"))
-        .when(number == 2, F.date_format("l_shipdate", "yyyyM"))
-        .otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
+        F.when(number == 1, F.lit(0))
+        .when(number == 2, F.year("shipped") * 10 + F.month("shipped"))
+        .otherwise(day_number("shipped"))
     )
     returned = F.col("l_returnflag") == "R"
     sales = F.when(returned, None).when(number == 4, quantity * number + 1).otherwise(quantity * number)
@@ -120,9 +127,9 @@ def raw_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
         F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("sls_prd_key"),
         F.col("o_custkey").cast("int").alias("sls_cust_id"),
-        F.date_format("day", "yyyyMMdd").alias("sls_order_dt"),
-        ship.alias("sls_ship_dt"),
-        F.when(~returned, F.date_format("l_shipdate", "yyyyMMdd")).alias("sls_due_dt"),
+        day_number("day").cast("string").alias("sls_order_dt"),
+        ship.cast("string").alias("sls_ship_dt"),
+        F.when(~returned, day_number("shipped")).cast("string").alias("sls_due_dt"),
         sales.alias("sls_sales"),
         sold.alias("sls_quantity"),
         price.alias("sls_price"),
