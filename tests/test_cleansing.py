@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleansing as c
@@ -67,9 +66,13 @@ def test_guarded_date_of_numbers(frame):
 
 
 def test_impossible_date_raises_when_strict_only(frame):
-    with pytest.raises(PySparkException):
-        apply(frame, c.guarded_date, ["20131399"])
-    assert apply(frame, lambda v: c.guarded_date(v, strict=False), ["20131399", "2013x101"]) == [None, None]
+    for impossible in ("20131399", "20130229", "20130100", "20130431"):
+        with pytest.raises(Exception, match=f"no such date: {impossible}"):
+            apply(frame, c.guarded_date, [impossible])
+    values = ["20131399", "2013x101", "20130229", "20120229", "20130100", "20131231"]
+    assert apply(frame, lambda v: c.guarded_date(v, strict=False), values) == [
+        None, None, None, dt.date(2012, 2, 29), None, dt.date(2013, 12, 31)
+    ]
 
 
 def test_no_future(frame):

@@ -91,7 +91,12 @@ def guarded_date(column: Column, strict: bool = True) -> Column:
     """
     text = column.cast("string")
     number = text.cast("int") if strict else text.try_cast("int")
-    day = F.to_date(text, "yyyyMMdd") if strict else F.try_to_date(text, "yyyyMMdd")
+    # The cast of ISO text needs no date pattern and no exception for a value it refuses.
+    iso = F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2))
+    day = iso.try_cast("date")
+    if strict:
+        no_such_date = F.raise_error(F.concat(F.lit("no such date: "), text)).cast("date")
+        day = F.coalesce(day, no_such_date)
     return F.when((number > 0) & (F.length(text) == 8), day)
 
 
