@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing
+from tidemark.llm import archives, line_dedup, mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,3 +40,68 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    return mixing.taken_words(mixing.mix(_table(spark, sf_dir, "documents")))
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
+), solid AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM lines
+  WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+), windows AS (
+  SELECT * FROM (
+    SELECT doc_id, place, bare AS one, lead(place, 1) OVER w AS place2, lead(bare, 1) OVER w AS two,
+           lead(place, 2) OVER w AS place3, lead(bare, 2) OVER w AS three
+    FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+  ) WHERE place3 IS NOT NULL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY one, two, three ORDER BY doc_id, place) AS nth FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, unnest([place, place2, place3]) AS place FROM placed WHERE nth > 1
+), kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.place) AS n_removed,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') AS text
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.place = g.place GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(k.text) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query(LINES_SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated runs of three lines."""
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+WARC_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INTEGER)) & 31 AS BIGINT), 1)
+  ), 'string_agg', '') AS payload_digest FROM hashed
+), top AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM top
+"""
+
+
+@query(WARC_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through ARC and WARC files."""
+    rows = archives.archive_pages(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
