@@ -57,21 +57,15 @@ def repeated_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     return covered.groupBy("doc_id", "text_mark").agg(F.collect_set("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
-    """``docs`` (``doc_id``, ``text`` and any more columns) without repeated runs of lines.
+def drop_lines(docs: DataFrame, gone: DataFrame, how: str = "left") -> DataFrame:
+    """``docs`` without the lines at the places ``gone`` of each ``doc_id`` and ``text_mark``.
 
-    Adds ``n_lines`` and ``n_removed`` and puts the kept lines, joined by newlines, into ``text``;
-    columns of these names are replaced, others kept as they are.
-    Null text: stays null, no lines. Empty text: one blank line. Fewer than ``size`` lines with a
-    word: unchanged. Null ``doc_id``: comes after all others; the rows with it count as one
-    document each, at the same place, so none of them is later than another. Rows repeated in id
-    and text are likewise at the same place and get the same lines. No rows: no rows.
+    Adds ``n_lines`` and ``n_removed``; columns of these names are replaced.
     """
     rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    gone = repeated_lines(rows.select("doc_id", "text"), size)
     whole = rows.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("mark"))
     same = whole["doc.doc_id"].eqNullSafe(gone["doc_id"]) & (whole["mark"] == gone["text_mark"])
-    joined = whole.join(gone, same, "left").select("doc", "gone")
+    joined = whole.join(gone, same, how).select("doc", "gone")
     lines = F.split("doc.text", "\n", -1)
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
@@ -85,3 +79,17 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     )
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     return out.select(*(F.col("doc").getField(c).alias(c) for c in own), "text", "n_lines", "n_removed")
+
+
+def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
+    """``docs`` (``doc_id``, ``text`` and any more columns) without repeated runs of lines.
+
+    Adds ``n_lines`` and ``n_removed`` and puts the kept lines, joined by newlines, into ``text``;
+    columns of these names are replaced, others kept as they are.
+    Null text: stays null, no lines. Empty text: one blank line. Fewer than ``size`` lines with a
+    word: unchanged. Null ``doc_id``: comes after all others; the rows with it count as one
+    document each, at the same place, so none of them is later than another. Rows repeated in id
+    and text are likewise at the same place and get the same lines. No rows: no rows.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return drop_lines(docs, repeated_lines(rows, size))

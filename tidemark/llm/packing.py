@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,7 +126,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW) -> D
 
     def place(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        lengths = np.asarray(pa.compute.binary_length(table["ids"])).astype(np.int64) // 4
+        lengths = np.asarray(pc.binary_length(table["ids"])).astype(np.int64) // 4
         doc_ids = np.asarray(table["doc_id"].fill_null(-1))
         starts = np.asarray(table["start"])
         order = np.lexsort((starts, doc_ids, -lengths))

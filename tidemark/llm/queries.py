@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, line_dedup, mixing, packing
+from tidemark.llm import archives, line_dedup, line_frequency, mixing, near_dup, nearest, packing, quality, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,3 +105,110 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through ARC and WARC files."""
     rows = archives.archive_pages(_table(spark, sf_dir, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdicts of all documents."""
+    judged = line_frequency.judge_lines(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *line_frequency.MEASURES, "base_failed", "kept", "n_removed_words")
+
+
+@query()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance and verdict of all documents."""
+    return quality.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and tokens of all documents."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+TOP_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(TOP_SQL)
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector."""
+    return nearest.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS least FROM documents
+  UNION
+  SELECT l.dst, r.least FROM reach r JOIN (SELECT a AS src, b AS dst FROM links UNION ALL SELECT b, a FROM links) l
+    ON r.node = l.src
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT node, min(least) AS component_id FROM reach GROUP BY node) c ON c.node = d.doc_id
+"""
+
+
+@query(NEAR_SQL)
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents, on four-word shingles."""
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
+
+
+SUBSTRING_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS key
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13)
+), first AS (
+  SELECT key, min(doc_id) AS doc_id FROM windows GROUP BY key HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT windows.doc_id, unnest(range(i, i + 13)) AS i
+  FROM windows JOIN first USING (key) WHERE windows.doc_id > first.doc_id
+), listed AS (
+  SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT words.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+         list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: places IS NULL OR NOT list_contains(places, x[2])) AS k
+  FROM words LEFT JOIN listed USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(list_transform(k, lambda x: x[1]), ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
+@query(SUBSTRING_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of earlier documents' windows."""
+    kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
