@@ -26,6 +26,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK_WORDS = 256
 RANGE_ROWS = 1024  # rows of one source that are summed in order, at the least
 RANGE_BITS = 10  # ranges that are summed in order
+KEPT = "doc_id", "source", "size", "source_size", "target", "one", "two"
 
 
 def word_count(text: Column) -> Column:
@@ -63,18 +64,22 @@ def _span_bits(rows: int) -> int:
     return max(0, math.ceil(math.log2(max(rows, 1) / RANGE_ROWS)))
 
 
+def row_keys() -> list[Column]:
+    """Two hashes, ``one`` and ``two``, of a document's id, source and text; none is null."""
+    parts = [F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")]
+    parts += [x.isNull() for x in parts]
+    return [F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in ((1, "one"), (2, "two"))]
+
+
 def sizes(docs: DataFrame, seed: int) -> DataFrame:
-    """``doc_id``, ``source``, words and shuffling hash of each document; written, so texts are read once."""
-    text = F.col("text").cast("string")
-    return materialize(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count(text).alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id", text).alias("mark"),
-        ),
-        "mix-sizes",
+    """``doc_id``, ``source``, words and hashes of each document; written, so texts are read once."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col("text").cast("string")).alias("size"),
+        *row_keys(),
     )
+    return materialize(rows.withColumn("mark", F.xxhash64(F.lit(seed), "one")), "mix-sizes")
 
 
 def source_targets(
@@ -160,6 +165,7 @@ def mix(
     ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``epoch`` (passes count from
     0), ``taken`` words, from the document's word ``first``; ``slot`` is where the mix first
     takes some of it. Blocks that no pass takes are summed up in a row with null ``epoch``.
+    ``one`` and ``two`` are ``row_keys`` of the document.
     A pass takes documents whole but for the one at which a source's words are complete.
     Taken words of a source are its target, rounded. The schedule's surplus or lack, a few slots
     a source, is settled at its end.
@@ -181,15 +187,13 @@ def mix(
     )
     rows, total = sized.count(), plan.agg(F.sum("need")).first()[0] or 0
     named = sized.join(plan.drop("take", "n_blocks", "need"), sized["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    empty = named.where("size = 0").select(
-        "doc_id", "source", "size", "source_size", "target", *_nothing()
-    )
+    empty = named.where("size = 0").select(*KEPT, *_nothing())
     if total == 0:
-        return named.select("doc_id", "source", "size", "source_size", "target", *_nothing())
+        return named.select(*KEPT, *_nothing())
     bits = _span_bits(rows)
     span = F.shiftrightunsigned("mark", 64 - bits) if bits else F.lit(0).cast("long")
     filled = named.where("size > 0").withColumn("_span", span)
-    placed = running_total(filled, "source_no", "_span", ["mark", "doc_id", "size"], "size", "pos")
+    placed = running_total(filled, "source_no", "_span", ["mark", "two"], "size", "pos")
     pieces = placed.withColumn(
         "block", F.explode(F.expr(f"sequence(pos div {block}, (pos + size - 1) div {block})"))
     )
@@ -209,13 +213,13 @@ def mix(
     got = joined.withColumn("_got", got).withColumn("_low", low)
     some = F.col("_got") > 0
     taken = (
-        got.groupBy("source_no", "pos", "doc_id", "source", "size", "source_size", "target", F.when(some, F.col("epoch")).alias("epoch"))
+        got.groupBy("source_no", "pos", *KEPT, F.when(some, F.col("epoch")).alias("epoch"))
         .agg(
             F.coalesce(F.sum("_got"), F.lit(0)).alias("taken"),
             F.min(F.when(some, F.col("_low") - F.col("pos"))).alias("first"),
             F.min(F.when(some, F.col("slot"))).alias("slot"),
         )
-        .select("doc_id", "source", "size", "source_size", "target", "epoch", "taken", "first", "slot", "source_no", "pos")
+        .select(*KEPT, "epoch", "taken", "first", "slot", "source_no", "pos")
     )
     return taken.unionByName(empty)
 
@@ -230,3 +234,22 @@ def taken_words(mixed: DataFrame) -> DataFrame:
     names = ["doc_id", "size", "source_size", "target"]
     filled = mixed.where("pos IS NOT NULL").groupBy("source_no", "pos", *names).agg(F.sum("taken").alias("taken"))
     return filled.select(*names, "taken").unionByName(mixed.where("pos IS NULL").select(*names, "taken"))
+
+
+def mixed_documents(docs: DataFrame, **how: object) -> DataFrame:
+    """The mix as rows of ``docs``: each document once per pass that takes some of it.
+
+    The document at which a source is complete is cut to the words taken, joined by one space.
+    Documents that no pass takes, and those without words, are left out. Rows equal in id, source
+    and text have equal other columns in the mix, those of one of them.
+    """
+    passes = mix(docs, **how).where("taken > 0").select("one", "two", "size", "first", "taken")
+    keys = Window.partitionBy("one", "two").orderBy("one")
+    whole = docs.select(F.struct("*").alias("_doc"), *row_keys())
+    whole = whole.withColumn("_nth", F.row_number().over(keys)).where("_nth = 1")
+    joined = whole.join(passes, ["one", "two"])
+    full = F.col("_doc.text").cast("string")
+    words = F.regexp_extract_all(full, F.lit(f"({WORD})"), F.lit(1))
+    some = F.array_join(F.slice(words, (F.col("first") + 1).cast("int"), F.col("taken").cast("int")), " ")
+    text = F.when(F.col("taken") < F.col("size"), some).otherwise(full)
+    return joined.select(*(text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in docs.columns))

@@ -107,7 +107,53 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query()
+UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "123456789"
+
+RULES_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), lines AS (
+  SELECT row_no, source, unnest(string_split(t, chr(10))) AS line FROM texts
+), solid AS (
+  SELECT row_no, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), normal AS (
+  SELECT row_no, source, line, len(w) AS n,
+         translate(array_to_string(w, ' '), '{UPPER}{DIGITS}', '{UPPER.lower()}{"0" * len(DIGITS)}') AS key
+  FROM solid
+), repeats AS (
+  SELECT row_no, count(*) - count(DISTINCT line) AS n_dup_lines FROM normal GROUP BY row_no
+), windows AS (
+  SELECT row_no, i, count(*) OVER (PARTITION BY row_no, key) AS n
+  FROM (SELECT row_no, unnest(range(1, len(w) - 1)) AS i,
+               unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS key
+        FROM texts WHERE len(w) >= 3)
+), covered AS (
+  SELECT row_no, count(DISTINCT i) AS n_repeat_words
+  FROM (SELECT row_no, unnest([i, i + 1, i + 2]) AS i FROM windows WHERE n > 1) GROUP BY row_no
+), hosts AS (
+  SELECT source, count(*) AS n_docs FROM documents GROUP BY source
+), frequent AS (
+  SELECT n.source, key FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
+  GROUP BY n.source, key, n_docs
+  HAVING count(DISTINCT row_no) >= {line_frequency.LEAST_DOCUMENTS} AND count(DISTINCT row_no) > {line_frequency.MOST_SHARE} * n_docs
+), removed AS (
+  SELECT row_no, CAST(sum(n) AS BIGINT) AS n_removed_words
+  FROM normal n JOIN frequent f ON n.key = f.key AND n.source IS NOT DISTINCT FROM f.source GROUP BY row_no
+), told AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_removed_words, 0) AS n_removed_words,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+  FROM texts LEFT JOIN repeats USING (row_no) LEFT JOIN covered USING (row_no) LEFT JOIN removed USING (row_no)
+)
+SELECT *, NOT base_failed AND n_removed_words <= {line_frequency.MOST_REMOVED} * n_words AS kept FROM told
+"""
+
+
+@query(RULES_SQL)
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts of all documents."""
     judged = line_frequency.judge_lines(_table(spark, sf_dir, "documents"))
