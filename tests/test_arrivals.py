@@ -7,7 +7,6 @@ import pytest
 
 from tests.conftest import tuples
 from tests.files import write_csv
-from tidemark.schemas import LAYERS
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.streaming import arrivals
 
@@ -17,9 +16,9 @@ NEXT = dt.date(2026, 4, 28)
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    yield Warehouse(spark, str(tmp_path / "warehouse"))
-    for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+    store = Warehouse(spark, str(tmp_path / "warehouse"), prefix="arrivals_")
+    yield store
+    store.forget()
 
 
 def run(warehouse, tmp_path):

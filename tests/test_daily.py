@@ -10,7 +10,7 @@ from tests.conftest import tuples
 from tests.files import write_csv
 from tidemark.operators.quality import DataTestFailure
 from tidemark.plans import daily, reporting, staging
-from tidemark.schemas import LAYERS, TABLES
+from tidemark.schemas import TABLES
 from tidemark.sinks.warehouse import Warehouse
 
 D1, D2, D3 = dt.date(2026, 4, 1), dt.date(2026, 4, 2), dt.date(2026, 4, 3)
@@ -88,8 +88,12 @@ def land_products(warehouse, folder, month):
     daily.land(warehouse, str(folder), "prd_info", month)
 
 
+PREPARED: list[Warehouse] = []
+
+
 def prepare(spark, folder):
-    warehouse = Warehouse(spark, str(folder / "warehouse"))
+    warehouse = Warehouse(spark, str(folder / "warehouse"), prefix=f"daily{len(PREPARED)}_")
+    PREPARED.append(warehouse)
     seeds = folder / "seeds"
     daily.load_seed(warehouse, write_csv(seeds, "CUST_AZ12.csv", "CUST_AZ12", ERP), "seeds.CUST_AZ12")
     daily.load_seed(warehouse, write_csv(seeds, "PX_CAT_G1V2.csv", "PX_CAT_G1V2", TAXONOMY), "seeds.PX_CAT_G1V2")
@@ -97,8 +101,8 @@ def prepare(spark, folder):
 
 
 def forget(spark):
-    for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+    while PREPARED:
+        PREPARED.pop().forget()
 
 
 def content(warehouse, names=TABLES):
@@ -137,7 +141,7 @@ def test_customers_carry_forward(built):
         (1, 1, "Lee", "United Kingdom", "Single", "Female", born),
         (2, 2, "Ray", "Germany", "Single", "Female", None),
         first[2],
-        (4, 4, "B", "null", "Single", "Female", None),
+        (4, 4, "B", "N/A", "Single", "Female", None),
         (5, None, "Id2", None, "Single", "Female", None),
     ]
     assert rows_of(warehouse, "mart.dim_customers", D1, *columns) == first
@@ -233,7 +237,7 @@ def test_readme_queries_run_on_the_catalog(built):
     warehouse, _, _ = built
     top = warehouse.spark.sql(
         "SELECT first_name, last_name, country, total_orders, total_sales "
-        "FROM reporting.rpt_sales_summary_by_customer ORDER BY total_sales DESC LIMIT 10"
+        f"FROM {warehouse.prefix}reporting.rpt_sales_summary_by_customer ORDER BY total_sales DESC LIMIT 10"
     )
     assert top.first().total_sales == 30
     day = warehouse.table("reporting.rpt_sales_summary_by_customer").where(f"snapshot_date = DATE'{D1}'")

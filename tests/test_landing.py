@@ -75,6 +75,45 @@ def test_malformed_number_fails(spark, tmp_path):
         landing.read_snapshot(spark, str(tmp_path), "cust_info", DAY).collect()
 
 
+def test_missing_markers_and_whole_numbers_with_a_fraction(spark, tmp_path):
+    rows = [
+        ("1.0", "NULL", "n/a", "x", "S", "<NA>", "2025-01-01"), ("nan", "k", "Nan", "y", None, "F", "None"),
+        ("2e3", "k", "a", "b", "S", "F", "null"),
+    ]
+    write_csv(tmp_path, "cust_info_2026_04_27.csv", "cust_info", rows)
+    found = tuples(landing.read_snapshot(spark, str(tmp_path), "cust_info", DAY))
+    day = dt.date(2025, 1, 1)
+    assert found == [
+        (None, "k", "Nan", "y", None, "F", None, DAY), (1, None, None, "x", "S", None, day, DAY),
+        (2000, "k", "a", "b", "S", "F", None, DAY),
+    ]
+
+
+def test_a_fraction_fails(spark, tmp_path):
+    write_csv(tmp_path, "cust_info_2026_04_27.csv", "cust_info", [("1.5", "AW1", "a", "b", "S", "F", "2025-01-01")])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        landing.read_snapshot(spark, str(tmp_path), "cust_info", DAY).collect()
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "loc_a101_2026_04_27.csv").write_text('CID,CNTRY\nAW-1,"United\n""States"""\n')
+    found = landing.read_snapshot(spark, str(tmp_path), "loc_a101", DAY, multi_line=True)
+    assert tuples(found) == [("AW-1", 'United\n"States"', DAY)]
+
+
+def test_headers_are_read_without_a_job(spark, tmp_path):
+    paths = []
+    for i in range(60):
+        day = DAY + dt.timedelta(days=i)
+        paths.append(write_csv(tmp_path, f"loc_a101_{day:%Y_%m_%d}.csv", "loc_a101", [(f"AW-{i}", "US")]))
+    group = "headers"
+    spark.sparkContext.setJobGroup(group, group)
+    df = landing.read_snapshots(spark, "loc_a101", paths)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs <= 1 and df.count() == 60
+
+
 def test_missing_file_names_the_partition(spark, tmp_path):
     with pytest.raises(landing.MissingSnapshot, match="2026-04-27 of loc_a101"):
         landing.read_snapshot(spark, str(tmp_path), "loc_a101", DAY)

@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import plan_of, tuples
 from tidemark.operators.partitions import missing_partitions
 from tidemark.schemas import LAYERS, TABLES, partition_column
-from tidemark.sinks.warehouse import Warehouse, replace_partition_at, write_partitions
+from tidemark.sinks.warehouse import ForeignTable, Warehouse, replace_partition_at, write_partitions
 
 D = [dt.date(2026, 4, d) for d in range(1, 10)]
 SCHEMA = "k int, v string, day date"
@@ -17,9 +17,9 @@ SCHEMA = "k int, v string, day date"
 @pytest.fixture
 def warehouse(spark, tmp_path):
     """A warehouse whose tables are gone from the catalog afterwards; files stay."""
-    yield Warehouse(spark, str(tmp_path / "warehouse"))
-    for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+    store = Warehouse(spark, str(tmp_path / "warehouse"))
+    yield store
+    store.forget()
 
 
 def stored(spark, path):
@@ -112,6 +112,32 @@ def test_static_table(warehouse, frame):
     assert partition_column("seeds.PX_CAT_G1V2") is None
 
 
+def test_two_roots_need_two_prefixes(warehouse, frame, tmp_path):
+    schema = "CID string, CNTRY string, snapshot_date date"
+    warehouse.replace_present("raw.loc_a101", frame([("AW-1", "US", D[0])], schema))
+    same_names = Warehouse(warehouse.spark, str(tmp_path / "other"))
+    with pytest.raises(ForeignTable, match="other"):
+        same_names.replace_present("raw.loc_a101", frame([("AW-2", "UK", D[0])], schema))
+    with pytest.raises(ForeignTable):
+        same_names.table("raw.loc_a101")
+    other = Warehouse(warehouse.spark, str(tmp_path / "other"), prefix="other_")
+    other.replace_present("raw.loc_a101", frame([("AW-2", "UK", D[0])], schema))
+    assert tuples(warehouse.table("raw.loc_a101")) == [("AW-1", "US", D[0])]
+    assert tuples(other.table("raw.loc_a101")) == [("AW-2", "UK", D[0])]
+    other.forget()
+    assert not warehouse.spark.catalog.databaseExists("other_raw")
+    assert tuples(warehouse.table("raw.loc_a101")) == [("AW-1", "US", D[0])]
+
+
+def test_a_failed_load_leaves_the_static_table(warehouse, frame):
+    schema = "ID string, CAT string, SUBCAT string, MAINTENANCE string"
+    warehouse.replace_static("seeds.PX_CAT_G1V2", frame([("a", "b", "c", "d")], schema))
+    broken = frame([("x", "b", "c", "d")], schema).selectExpr("raise_error('no') AS ID", "CAT", "SUBCAT", "MAINTENANCE")
+    with pytest.raises(Exception, match="no"):
+        warehouse.replace_static("seeds.PX_CAT_G1V2", broken)
+    assert tuples(warehouse.table("seeds.PX_CAT_G1V2")) == [("a", "b", "c", "d")]
+
+
 def test_inventory_comes_from_the_catalog(warehouse, frame):
     rows = frame([("AW-1", "US", D[0]), ("AW-2", "UK", D[2])], "CID string, CNTRY string, snapshot_date date")
     warehouse.replace_present("raw.loc_a101", rows)

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.scratch import materialize
 
@@ -33,8 +32,9 @@ def surrogate_key(
     order = [F.col(c).asc_nulls_last() for c in [*within, *order_by]]
     order += [F.xxhash64(*rest).asc()] if rest else []
     spark = df.sparkSession
-    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # Without a number the ranges follow the size of the data: small neighbours are merged.
+    placed = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = placed.sortWithinPartitions(*order)
     stored = materialize(placed.withColumn("_seq", F.monotonically_increasing_id()), "keys")
     part = F.shiftright(F.col("_seq"), ROW_BITS)
 
@@ -42,16 +42,20 @@ def surrogate_key(
     counted = stored.groupBy(*within, part.alias("_part")).agg(
         F.min("_seq").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    used: dict[tuple, int] = {}
-    bases = []
-    for row in sorted(counted.collect(), key=lambda r: r["_part"]):
-        group = tuple(row[c] for c in within)
-        before = used.get(group, 0)
-        bases.append((*group, row["_part"], before + 1 - row["first"]))
-        used[group] = before + row["n"]
-    fields = [T.StructField(f"_g{i}", df.schema[c].dataType) for i, c in enumerate(within)]
-    fields += [T.StructField("_range", T.LongType()), T.StructField("_base", T.LongType())]
-    base = spark.createDataFrame(bases, T.StructType(fields))
+    if within:
+        earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+        base = counted.select(
+            *[F.col(c).alias(f"_g{i}") for i, c in enumerate(within)],
+            F.col("_part").alias("_range"),
+            (before + 1 - F.col("first")).alias("_base"),
+        )
+    else:  # one row per range: as many as the write had tasks
+        bases, used = [], 0
+        for row in sorted(counted.collect(), key=lambda r: r["_part"]):
+            bases.append((row["_part"], used + 1 - row["first"]))
+            used += row["n"]
+        base = spark.createDataFrame(bases, "_range long, _base long")
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(within)]
-    numbered = stored.join(F.broadcast(base), [*same, part == F.col("_range")])
+    numbered = stored.join(base, [*same, part == F.col("_range")])
     return numbered.select((F.col("_seq") + F.col("_base")).alias(name), *df.columns)

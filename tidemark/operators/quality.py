@@ -52,32 +52,45 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def audit(df: DataFrame, table: str, tests: Sequence[DataTest]) -> DataFrame:
-    """Run the declared tests of one table: one row per test."""
-    frames = []
+    """Run the declared tests of one table, in one scan: one row per test.
+
+    Rows are counted by every tested combination of columns at once (grouping sets); NULLs are
+    counted along with the first combination, and summed up at the end.
+    """
     not_null = [t for t in tests if isinstance(t, NotNull)]
-    if not_null:
-        counts = null_counts(df, [t.column for t in not_null])
-        strict = [t.column for t in not_null if t.severity == "error"]
-        frames.append(
-            counts.select(
-                F.lit("not_null").alias("test"),
-                F.col("column_name").alias("column_names"),
-                F.when(F.col("column_name").isin(*strict), "error").otherwise("warn").alias("severity"),
-                "failures",
-            )
+    unique = [t for t in tests if isinstance(t, UniqueCombination)]
+    sets = list(dict.fromkeys(tuple(sorted(t.columns)) for t in unique))
+    columns = sorted({c for s in sets for c in s})
+    nulls = [F.count_if(F.col(t.column).isNull()).alias(f"_null{i}") for i, t in enumerate(not_null)]
+    zero = F.lit(0).cast("bigint")
+    if sets:
+        counted = df.select(*columns, *[F.col(t.column).alias(f"_tested{i}") for i, t in enumerate(not_null)])
+        nulls = [F.count_if(F.col(f"_tested{i}").isNull()).alias(f"_null{i}") for i in range(len(not_null))]
+        groups = counted.groupingSets([[F.col(c) for c in s] for s in sets], *columns)
+        groups = groups.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"), *nulls)
+        # Bits of the set's number, from the first column, are 1 for columns that are not in it.
+        numbers = {s: int("".join("01"[c not in s] for c in columns), 2) for s in sets}
+        of = {s: F.col("_set") == number for s, number in numbers.items()}
+        totals = [F.sum(F.when(of[sets[0]], F.col(f"_null{i}"))).alias(f"_null{i}") for i in range(len(not_null))]
+        totals += [F.count_if(of[s] & (F.col("_rows") > 1)).alias(f"_twice{i}") for i, s in enumerate(sets)]
+        counts = groups.agg(*totals)
+    else:
+        counts = df.agg(*nulls)
+    entries = [("not_null", t.column, t.severity, f"_null{i}") for i, t in enumerate(not_null)]
+    entries += [
+        ("unique_combination", ",".join(t.columns), t.severity, f"_twice{sets.index(tuple(sorted(t.columns)))}")
+        for t in unique
+    ]
+    rows = [
+        F.struct(
+            F.lit(test).alias("test"),
+            F.lit(names).alias("column_names"),
+            F.lit(severity).alias("severity"),
+            F.coalesce(F.col(found), zero).alias("failures"),
         )
-    for test in tests:
-        if isinstance(test, UniqueCombination):
-            repeated = duplicate_groups(df, test.columns).agg(F.count(F.lit(1)).alias("failures"))
-            frames.append(
-                repeated.select(
-                    F.lit("unique_combination").alias("test"),
-                    F.lit(",".join(test.columns)).alias("column_names"),
-                    F.lit(test.severity).alias("severity"),
-                    "failures",
-                )
-            )
-    report = reduce(DataFrame.unionByName, frames)
+        for test, names, severity, found in entries
+    ]
+    report = counts.select(F.inline(F.array(*rows)))
     status = F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "error", "fail").otherwise("warn")
     )

@@ -12,11 +12,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.partitions import partition_readiness, unbuilt_partitions
 from tidemark.operators.quality import audit, enforce
-from tidemark.operators.timeline import partition_days
 from tidemark.plans import marts, ml, reporting, staging
 from tidemark.plans.declared_tests import DECLARED
-from tidemark.plans.staging import MONTH, SNAPSHOT, in_days
+from tidemark.plans.staging import SNAPSHOT, in_days
 from tidemark.schemas import RAW_TABLES, partition_column
 from tidemark.scratch import discarding
 from tidemark.sinks.warehouse import LoadStats, Warehouse
@@ -31,9 +31,11 @@ class BuildResult:
     tests: list = field(default_factory=list)
 
 
-def land(warehouse: Warehouse, folder: str, source: str, day: dt.date) -> LoadStats:
+def land(
+    warehouse: Warehouse, folder: str, source: str, day: dt.date, multi_line: bool = False
+) -> LoadStats:
     """Replace one partition of a raw table by its file."""
-    rows = read_snapshot(warehouse.spark, folder, source, day)
+    rows = read_snapshot(warehouse.spark, folder, source, day, multi_line)
     return warehouse.replace_partition(f"raw.{source}", rows, day)
 
 
@@ -51,8 +53,8 @@ def _test(warehouse: Warehouse, name: str, start: dt.date, end: dt.date, result:
 
 def _product_days(w: Warehouse, start: dt.date, end: dt.date) -> list[dt.date]:
     """Days on which staged products are due: month snapshots in range or never staged."""
-    landed = [d for d in partition_days(w.table("raw.prd_info"), MONTH) if d <= end]
-    staged = set(partition_days(w.table("staging.stg_crm_prd_info"), SNAPSHOT))
+    landed = [d for d in w.days("raw.prd_info") if d <= end]
+    staged = set(w.days("staging.stg_crm_prd_info"))
     return [d for d in landed if d >= start or d not in staged]
 
 
@@ -168,6 +170,25 @@ def build(
     return result
 
 
+def due(warehouse: Warehouse, as_of: dt.date, lookback: int | None = None) -> DataFrame:
+    """Days that can be built and are not: ``day`` and ``outside``.
+
+    A day can be built when all daily sources hold it and the product list holds some month on or
+    before it. It is built when the last report holds it. Days after ``as_of`` are not due.
+    ``outside`` marks those more than ``lookback`` days back, which a caller may leave for a
+    backfill; without a lookback none is. Everything comes from the catalog.
+    """
+    sources = ["raw.sales_details", "raw.cust_info", "raw.loc_a101"]
+    last = "reporting.rpt_sales_performance_by_product"
+    warehouse.create(*sources, "raw.prd_info", last)
+    ready = partition_readiness(
+        warehouse.inventory(*sources), sources, warehouse.inventory("raw.prd_info"), ["raw.prd_info"]
+    )
+    open_days = unbuilt_partitions(ready.where(F.col("day") <= F.lit(as_of)), warehouse.inventory(last))
+    first = as_of - dt.timedelta(days=lookback - 1) if lookback else dt.date.min
+    return open_days.withColumn("outside", F.col("day") < F.lit(first))
+
+
 def train(warehouse: Warehouse, day: dt.date) -> list[LoadStats]:
     """Segment and score the customers of one day; keep the fitted churn model per day.
 

@@ -30,9 +30,15 @@ SEGMENT_LABELS = {0: "At Risk", 1: "Loyal", 2: "Promising", 3: "Champion"}
 SEGMENT_ORDER = (0, 2, 1, 3)
 RESTARTS = 10
 SEED = 42
-MAX_ITERATIONS = 500
+SEGMENT_ITERATIONS = 300
+CHURN_ITERATIONS = 500
 HIGH_RISK = 0.5
 
+# Centres that move less than this, in scaled units, have settled; the loss that changes by
+# less than this share has.
+SEGMENT_TOLERANCE = 1e-6
+CHURN_TOLERANCE = 1e-13
+
 # Restarts that run at a time; each is a series of short jobs over the cached features.
 PARALLEL_FITS = 5
 
@@ -58,7 +64,16 @@ def _assembler() -> VectorAssembler:
 
 
 def _fit(points: DataFrame, k: int, restart: int) -> KMeansModel:
-    return KMeans(k=max(k, 2), seed=SEED + restart, featuresCol="features").fit(points)
+    model = KMeans(
+        k=max(k, 2),
+        seed=SEED + restart,
+        featuresCol="features",
+        maxIter=SEGMENT_ITERATIONS,
+        tol=SEGMENT_TOLERANCE,
+    ).fit(points)
+    if model.summary.numIter >= SEGMENT_ITERATIONS:
+        log.warning("start %d stopped after %d iterations, unsettled", restart, SEGMENT_ITERATIONS)
+    return model
 
 
 def customer_segments(rfm: DataFrame, keep: list[str]) -> DataFrame | None:
@@ -113,12 +128,14 @@ def churn_predictions(
         points = assembler.transform(scaler.transform(labelled))
         model = LogisticRegression(
             labelCol="churned",
-            maxIter=MAX_ITERATIONS,
-            tol=1e-9,
+            maxIter=CHURN_ITERATIONS,
+            tol=CHURN_TOLERANCE,
             regParam=1.0 / sum(counts.values()),
             elasticNetParam=0.0,
             standardization=False,
         ).fit(points)
+        if model.summary.totalIterations >= CHURN_ITERATIONS:
+            log.warning("churn fit stopped after %d iterations, unsettled", CHURN_ITERATIONS)
     finally:
         labelled.unpersist()
     fitted = PipelineModel(stages=[scaler, assembler, model])

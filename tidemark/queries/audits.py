@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import partitions, quality, summaries
 from tidemark.operators.quality import NotNull, UniqueCombination
 from tidemark.queries import query
-from tidemark.queries.inputs import EVENTS_AS_OF, ORDERS_LAST, events, orders, read
+from tidemark.queries.inputs import EVENTS_AS_OF, events, order_span, orders, read
 from tidemark.scratch import scratch_path
-from tidemark.sinks.warehouse import replace_partition_at, write_partitions
+from tidemark.sinks.warehouse import Warehouse, replace_partition_at, write_partitions
 from tidemark.sources import routing
 
 CLEARED = EVENTS_AS_OF + dt.timedelta(days=1)
@@ -105,15 +105,11 @@ def recent_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitions.recent_partitions(events(spark, sf_dir))
 
 
-LOOKBACK = 2405
-
-
-@query(f"""
+@query("""
     WITH present AS (
         SELECT DISTINCT o_orderpriority AS table_name, CAST(o_orderdate AS DATE) AS day FROM orders
     ), spine AS (
-        SELECT CAST(d AS DATE) AS day
-        FROM generate_series(DATE '{ORDERS_LAST}' - {LOOKBACK - 1}, DATE '{ORDERS_LAST}', INTERVAL 1 DAY) t(d)
+        SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM present
     )
     SELECT t.table_name, s.day FROM (SELECT DISTINCT table_name FROM present) t, spine s
     WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.table_name = t.table_name AND p.day = s.day)
@@ -121,7 +117,8 @@ LOOKBACK = 2405
 def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days without an order, per priority, over the whole period."""
     inventory = orders(spark, sf_dir).select(F.col("o_orderpriority").alias("table_name"), "day")
-    return partitions.missing_partitions(inventory.distinct(), ORDERS_LAST, LOOKBACK)
+    first, last = order_span(spark, sf_dir)
+    return partitions.missing_partitions(inventory.distinct(), last, (last - first).days + 1)
 
 
 @query("""
@@ -334,3 +331,24 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def dq_rowcount_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rowcount_drift(orders(spark, sf_dir), "day")
+
+
+@query("""
+    SELECT CASE c_custkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS root, c_name AS "CID", c_mktsegment AS "CNTRY",
+           DATE '2024-01-15' AS snapshot_date
+    FROM customer
+""")
+def two_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written to two warehouses of one catalog, by whether their key is even, and read from both."""
+    frames = []
+    for remainder, root in enumerate(("even", "odd")):
+        path = scratch_path(spark, f"root-{root}")
+        store = Warehouse(spark, path, prefix=f"{root}_{path[-8:]}_")
+        rows = read(spark, sf_dir, "customer").where(F.col("c_custkey") % 2 == remainder)
+        rows = rows.select(
+            F.col("c_name").alias("CID"), F.col("c_mktsegment").alias("CNTRY"), F.lit(EVENTS_AS_OF).alias("snapshot_date")
+        )
+        store.replace_partition("raw.loc_a101", rows, EVENTS_AS_OF)
+        frames.append((root, store))
+    tables = [store.table("raw.loc_a101").withColumn("root", F.lit(root)) for root, store in frames]
+    return tables[0].unionByName(tables[1])

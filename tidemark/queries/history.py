@@ -9,15 +9,13 @@ from tidemark.operators import keys, latest, timeline
 from tidemark.queries import query
 from tidemark.queries.inputs import (
     EVENTS_AS_OF,
-    EVENTS_FIRST,
-    EVENTS_LAST,
     ORDERS_AS_OF,
-    ORDERS_FIRST,
-    ORDERS_LAST,
     cents,
     events,
+    order_span,
     orders,
     read,
+    span,
 )
 from tidemark.scratch import materialize
 
@@ -96,7 +94,7 @@ def asof_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("lines").alias("snapshot_lines"), F.sum("cents").alias("snapshot_cents")
     )
     stored = materialize(snapshots, "snapshots")
-    daily = timeline.bridge_to_days(stored, "effective_month", "day", ORDERS_FIRST, ORDERS_LAST)
+    daily = timeline.bridge_to_days(stored, "effective_month", "day", *order_span(spark, sf_dir))
     days = orders(spark, sf_dir).groupBy("day").agg(F.count(F.lit(1)).alias("orders_of_day"))
     return days.join(daily, "day")
 
@@ -134,10 +132,9 @@ def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH days AS (
-        SELECT CAST(d AS DATE) AS snapshot_date
-        FROM generate_series(DATE '{EVENTS_FIRST}', DATE '{EVENTS_LAST}', INTERVAL 1 DAY) t(d)
-    ), log AS ({LOG}), newest AS (
+    WITH log AS ({LOG}), days AS (
+        SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS snapshot_date FROM log
+    ), newest AS (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, day
                                      ORDER BY ts DESC, event_id DESC) AS rn FROM log
     )
@@ -152,7 +149,7 @@ def backfill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of every user on every day."""
     log = events(spark, sf_dir)
     state = timeline.daily_state(
-        log, ["user_id"], "day", EVENTS_FIRST, EVENTS_LAST, newest=["ts", "event_id"]
+        log, ["user_id"], "day", *span(log), newest=["ts", "event_id"]
     )
     return state.select(
         "user_id", "snapshot_date", F.col("day").alias("changed_on"), "event_id", "event_type", "value"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The events cover January 2024, the orders 1995-01-01 to 2001-08-01.
+# Days on which queries look back, and the days features are taken on; not bounds of the tables.
 EVENTS_FIRST, EVENTS_LAST = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 EVENTS_AS_OF = dt.date(2024, 1, 15)
 ORDERS_FIRST, ORDERS_LAST = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
@@ -44,6 +44,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
 
 
+def span(days: DataFrame, day: str = "day") -> tuple[dt.date, dt.date]:
+    """First and last day in a frame; queries over a whole period take its bounds from the rows."""
+    first, last = days.agg(F.min(day), F.max(day)).first()
+    return first or ORDERS_AS_OF, last or ORDERS_AS_OF
+
+
+def order_span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    return span(orders(spark, sf_dir))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with customer and order day."""
     lines = read(spark, sf_dir, "lineitem").select(

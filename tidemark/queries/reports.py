@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,12 +252,78 @@ def last_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_days(materialize(customer_features(spark, sf_dir), "rfm"), ORDERS_LAST, ORDERS_LAST)
 
 
-@query(None)
+# Group 0 to 3 of a customer, from the weakest; the ranges of the groups lie far apart in every feature.
+GROUP = "c_custkey % 4"
+
+
+@query(f"""
+    SELECT c_custkey AS customer_key, CAST(1000 - 300 * ({GROUP}) + c_custkey % 7 AS INTEGER) AS recency_days,
+           CAST(1 + 40 * ({GROUP}) + c_nationkey % 5 AS INTEGER) AS frequency,
+           CAST(100000 * ({GROUP}) + c_acctbal AS DOUBLE) AS monetary,
+           CASE {GROUP} WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 3 END AS segment_id,
+           CASE {GROUP} WHEN 0 THEN 'At Risk' WHEN 1 THEN 'Promising' WHEN 2 THEN 'Loyal' ELSE 'Champion' END
+               AS segment_label
+    FROM customer
+""")
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.customer_segments(last_features(spark, sf_dir), ["customer_key"])
+    """All customers, their features moved apart by group so that one clustering is best."""
+    group = F.expr(GROUP)
+    moved = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_key"),
+        (1000 - 300 * group + F.col("c_custkey") % 7).cast("int").alias("recency_days"),
+        (1 + 40 * group + F.col("c_nationkey") % 5).cast("int").alias("frequency"),
+        (100000 * group + F.col("c_acctbal")).cast("double").alias("monetary"),
+    )
+    return ml.customer_segments(moved, ["customer_key"])
+
+
+def newton_sql(points: str, weights: Sequence[str], steps: int) -> str:
+    """CTEs that minimise sum(log loss) + |w|^2 / 2 over ``points`` (``x1`` .., ``y``); the last is ``w<steps>``.
+
+    ``x0`` is 1 and its weight is left out of the penalty. Each step solves its linear system by elimination.
+    """
+    n = len(weights)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    parts = [f"w0_ AS (SELECT {', '.join(f'CAST(0 AS DOUBLE) AS {w}' for w in weights)})"]
+    for step in range(steps):
+        margin = " + ".join(f"{w} * x{i}" for i, w in enumerate(weights))
+        sums = [
+            f"sum(p * (1 - p) * x{i} * x{j}) + {int(i == j and i > 0)} AS h{i}{j}" for i, j in pairs
+        ] + [f"sum((p - y) * x{i})" + (f" + any_value({w})" if i else "") + f" AS g{i}" for i, w in enumerate(weights)]
+        kept = ", ".join(f"any_value({w}) AS {w}" for w in weights)
+        inner = f"SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM {points}, w{step}_"
+        solved = f"SELECT {', '.join(sums)}, {kept} FROM ({inner})"
+        for k in range(n):
+            reduced = [
+                f"h{i}{j} - h{k}{i} * h{k}{j} / h{k}{k} AS h{i}{j}" for i, j in pairs if i > k
+            ] + [f"g{i} - h{k}{i} * g{k} / h{k}{k} AS g{i}" for i in range(k + 1, n)]
+            same = [f"h{i}{j}" for i, j in pairs if i <= k] + [f"g{i}" for i in range(k + 1)] + list(weights)
+            solved = f"SELECT {', '.join(reduced + same)} FROM ({solved})"
+        for k in reversed(range(n)):
+            later = "".join(f" - h{k}{j} * d{j}" for j in range(k + 1, n))
+            solved = f"SELECT *, (g{k}{later}) / h{k}{k} AS d{k} FROM ({solved})"
+        moved = ", ".join(f"{w} - d{i} AS {w}" for i, w in enumerate(weights))
+        parts.append(f"w{step + 1}_ AS MATERIALIZED (SELECT {moved} FROM ({solved}))")
+    return ", ".join(parts)
 
 
-@query(None)
+@query(f"""
+    WITH rfm AS ({RFM_SQL}), newest AS (SELECT * FROM rfm WHERE snapshot_date = DATE '{ORDERS_LAST}'), s AS (
+        SELECT avg(recency_days) AS mr, stddev_pop(recency_days) AS dr, avg(frequency) AS mf,
+               stddev_pop(frequency) AS df, avg(monetary) AS mm, stddev_pop(monetary) AS dm,
+               greatest(90, median(recency_days)) AS threshold
+        FROM newest
+    ), points AS MATERIALIZED (
+        SELECT customer_key, recency_days, frequency, monetary, 1 AS x0, (recency_days - mr) / dr AS x1,
+               (frequency - mf) / df AS x2, (monetary - mm) / dm AS x3,
+               CAST(recency_days > threshold AS INTEGER) AS y
+        FROM newest, s
+    ), {newton_sql("points", ["b", "r", "f", "m"], 25)}
+    SELECT customer_key, recency_days, frequency, monetary,
+           round(1 / (1 + exp(-(b + r * x1 + f * x2 + m * x3))), 3) AS churn_probability,
+           1 / (1 + exp(-(b + r * x1 + f * x2 + m * x3))) >= 0.5 AS is_high_risk
+    FROM points, w25_
+""")
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions, _ = ml.churn_predictions(last_features(spark, sf_dir), ["customer_key"])
-    return predictions
+    return predictions.withColumn("churn_probability", F.round("churn_probability", 3))

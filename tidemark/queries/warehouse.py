@@ -17,9 +17,8 @@ from tidemark.plans import marts, reporting, staging
 from tidemark.queries import query
 from tidemark.queries.inputs import (
     ORDERS_AS_OF,
-    ORDERS_FIRST,
-    ORDERS_LAST,
     day_number,
+    order_span,
     orders,
     read,
 )
@@ -95,9 +94,10 @@ def seed_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_px_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Taxonomy without an entry for small parts."""
-    known = read(spark, sf_dir, "part").where(F.col("p_type") != "SMALL")
-    category = F.concat_ws("_", F.substring("p_type", 1, 2), F.substring("p_name", 1, 2))
+    """Taxonomy in which small parts stand under ids that no product has."""
+    known = read(spark, sf_dir, "part")
+    kind = F.when(F.col("p_type") == "SMALL", F.lit("XX")).otherwise(F.substring("p_type", 1, 2))
+    category = F.concat_ws("_", kind, F.substring("p_name", 1, 2))
     return known.groupBy(category.alias("ID")).agg(
         F.concat(F.lit(" "), F.max("p_type"), F.lit(" ")).alias("CAT"),
         F.min("p_name").alias("SUBCAT"),
@@ -180,10 +180,11 @@ WAREHOUSE_SQL = f"""
             FROM customer
         ), days
     ), stg_px AS (
-        SELECT substr(p_type, 1, 2) || '_' || substr(p_name, 1, 2) AS ID, max(p_type) AS CAT,
+        SELECT CASE p_type WHEN 'SMALL' THEN 'XX' ELSE substr(p_type, 1, 2) END || '_' || substr(p_name, 1, 2) AS ID,
+               max(p_type) AS CAT,
                min(p_name) AS SUBCAT, CASE WHEN max(p_size) > 49 THEN 'Yes' ELSE 'No' END AS MAINTENANCE,
                day AS snapshot_date
-        FROM part, days WHERE p_type <> 'SMALL' GROUP BY 1, 5
+        FROM part, days GROUP BY 1, 5
     ), raw_prd AS (
         SELECT CAST(p_partkey AS INTEGER) AS prd_id,
                substr(p_type, 1, 2) || '_' || substr(p_name, 1, 2) AS cat_id,
@@ -302,9 +303,9 @@ def _staged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customers(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date) -> DataFrame:
     return marts.dim_customers(
-        staging.crm_cust_info(raw_cust_info(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST),
+        staging.crm_cust_info(raw_cust_info(spark, sf_dir), *order_span(spark, sf_dir)),
         staging.erp_cust_az12(seed_cust_az12(spark, sf_dir), start, end, today=DAY),
-        staging.erp_loc_a101(raw_loc_a101(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST),
+        staging.erp_loc_a101(raw_loc_a101(spark, sf_dir), *order_span(spark, sf_dir)),
         start,
         end,
     )
@@ -331,7 +332,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM stg_cust")
 def table_stg_crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(staging.crm_cust_info(raw_cust_info(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST))
+    return _plain(staging.crm_cust_info(raw_cust_info(spark, sf_dir), *order_span(spark, sf_dir)))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM stg_prd")
@@ -351,7 +352,7 @@ def table_stg_erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM stg_loc")
 def table_stg_erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(staging.erp_loc_a101(raw_loc_a101(spark, sf_dir), ORDERS_FIRST, ORDERS_LAST))
+    return _plain(staging.erp_loc_a101(raw_loc_a101(spark, sf_dir), *order_span(spark, sf_dir)))
 
 
 @query(f"{WAREHOUSE_SQL} SELECT * FROM stg_px")

@@ -8,19 +8,22 @@ Two write semantics, never mixed:
   the table as it is.
 
 Both stage their files and swap whole partition directories on commit, so a lost executor
-or a failed job leaves the old partition readable.
+or a failed job leaves the old partition readable. Cleared partitions and tables without
+partitions are likewise written beside the old files and then put in their place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.files import make_folder
+from tidemark.files import make_folder, qualified, swap_folder
 from tidemark.schemas import LAYERS, TABLES, partition_column, table_schema
 from tidemark.sources.landing import require_partition
 
@@ -57,11 +60,19 @@ def write_partitions(
     return result["rows"], tuple(sorted(result["days"]))
 
 
+def write_beside(df: DataFrame, target: str, root: str) -> None:
+    """Write ``df`` to a hidden folder next to ``root`` and put it in the place of ``target``."""
+    parent, _, name = root.rstrip("/").rpartition("/")
+    staged = f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    swap_folder(df.sparkSession, staged, target)
+
+
 def clear_partition(spark: SparkSession, path: str, day: str, value: dt.date, schema) -> None:
     """Leave the partition in place without rows."""
     columns = [c for c in schema.names if c != day]
     empty = spark.createDataFrame([], schema).select(*columns)
-    empty.write.mode("overwrite").parquet(f"{path}/{day}={value.isoformat()}")
+    write_beside(empty, f"{path}/{day}={value.isoformat()}", path)
 
 
 def replace_partition_at(df: DataFrame, path: str, day: str, value: dt.date) -> int:
@@ -73,35 +84,83 @@ def replace_partition_at(df: DataFrame, path: str, day: str, value: dt.date) ->
     return rows
 
 
+# Spark formats the dates of a description with a formatter that threads must not share.
+_describing = threading.Lock()
+
+
+class ForeignTable(RuntimeError):
+    """A table of this name is registered with files elsewhere."""
+
+
 class Warehouse:
-    """Tables of all layers below one root folder, registered as ``layer.table``."""
+    """Tables of all layers below one root folder.
+
+    They are called ``layer.table`` here and registered as ``<prefix>layer.table``. Two roots in
+    one catalog need two prefixes; a name that is taken by another root's table is an error.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.prefix = prefix
+        self._checked: set[str] = set()
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def registered(self, name: str) -> str:
+        """The name in the catalog."""
+        return f"{self.prefix}{name}"
+
+    def _check(self, name: str) -> bool:
+        """Whether the table is registered; raises if it is another root's."""
+        if name in self._checked and self.spark.catalog.tableExists(self.registered(name)):
+            return True
+        if not self.spark.catalog.tableExists(self.registered(name)):
+            return False
+        with _describing:
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.registered(name)}").collect()
+        places = [r["data_type"] for r in described if r["col_name"] == "Location"]
+        if places:
+            found = qualified(self.spark, places[-1])
+            if found != qualified(self.spark, self.location(name)):
+                raise ForeignTable(f"{self.registered(name)} lies in {found}, not below {self.root}")
+        self._checked.add(name)
+        return True
+
     def create(self, *names: str) -> None:
         """Create databases and tables that are missing; existing files are picked up."""
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'"
+            )
         for name in names or TABLES:
-            if self.spark.catalog.tableExists(name):
+            if self._check(name):
                 continue
             day = partition_column(name)
             partitioned = f"PARTITIONED BY ({day})" if day else ""
             self.spark.sql(
-                f"CREATE TABLE {name} ({TABLES[name]}) USING parquet {partitioned} "
+                f"CREATE TABLE {self.registered(name)} ({TABLES[name]}) USING parquet {partitioned} "
                 f"LOCATION '{self.location(name)}'"
             )
             if day:
                 make_folder(self.spark, self.location(name))
-                self.spark.catalog.recoverPartitions(name)
+                self.spark.catalog.recoverPartitions(self.registered(name))
+
+    def forget(self) -> None:
+        """Take this root's tables, and databases that are then empty, from the catalog; files stay."""
+        for name in TABLES:
+            if self._check(name):
+                self.spark.sql(f"DROP TABLE {self.registered(name)}")
+        self._checked.clear()
+        for layer in LAYERS:
+            database = f"{self.prefix}{layer}"
+            if self.spark.catalog.databaseExists(database) and not self.spark.catalog.listTables(database):
+                self.spark.sql(f"DROP DATABASE {database}")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        self._check(name)
+        return self.spark.table(self.registered(name))
 
     def inventory(self, *names: str) -> DataFrame:
         """``(table_name, day)`` of the stored partitions, from the catalog alone.
@@ -109,7 +168,7 @@ class Warehouse:
         No file is opened. A partition that was cleared counts as stored.
         """
         frames = [
-            self.spark.sql(f"SHOW PARTITIONS {name}").select(
+            self.spark.sql(f"SHOW PARTITIONS {self.registered(name)}").select(
                 F.lit(name).alias("table_name"),
                 F.to_date(F.substring_index("partition", "=", -1)).alias("day"),
             )
@@ -117,6 +176,12 @@ class Warehouse:
         ]
         return reduce(DataFrame.unionByName, frames)
 
+    def days(self, name: str) -> list[dt.date]:
+        """Stored partitions of a table, ascending; from the catalog alone."""
+        self.create(name)
+        rows = self.inventory(name).where("day IS NOT NULL").collect()
+        return sorted(r["day"] for r in rows)
+
     def _arranged(self, name: str, df: DataFrame) -> DataFrame:
         """Columns by name, in table order and type."""
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema(name)])
@@ -125,8 +190,8 @@ class Warehouse:
         if days:
             column = partition_column(name)
             specs = " ".join(f"PARTITION ({column}=DATE'{d.isoformat()}')" for d in days)
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
-        self.spark.catalog.refreshTable(name)
+            self.spark.sql(f"ALTER TABLE {self.registered(name)} ADD IF NOT EXISTS {specs}")
+        self.spark.catalog.refreshTable(self.registered(name))
 
     def replace_partition(self, name: str, df: DataFrame, value: dt.date) -> LoadStats:
         self.create(name)
@@ -146,5 +211,5 @@ class Warehouse:
     def replace_static(self, name: str, df: DataFrame) -> None:
         """Load a table without partitions."""
         self.create(name)
-        self._arranged(name, df).write.mode("overwrite").parquet(self.location(name))
-        self.spark.catalog.refreshTable(name)
+        write_beside(self._arranged(name, df), self.location(name), self.location(name))
+        self.spark.catalog.refreshTable(self.registered(name))

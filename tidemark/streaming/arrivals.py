@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.files import exists
 from tidemark.operators.latest import latest_per_key
+from tidemark.scratch import materialize
 from tidemark.sinks.warehouse import LoadStats, Warehouse
 from tidemark.sources.landing import read_snapshots
 from tidemark.sources.routing import route_files
@@ -60,8 +62,8 @@ def ingest(
 ) -> StreamingQuery:
     """Land all files that arrived since the last call, then stop.
 
-    A path is handled once. To load a changed file again, call ``land_files`` or the batch
-    reader for its partition.
+    A path is handled once. Files that are dropped again under their old name are found by
+    ``ingest_changes``.
     """
 
     def land(batch: DataFrame, _: int) -> None:
@@ -74,3 +76,27 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_changes(warehouse: Warehouse, folder: str, ledger: str) -> list[LoadStats]:
+    """Land files that are new, or newer than when they were last landed; file contents are only read then.
+
+    ``ledger`` is a folder that keeps path and modification time of every landed file. A file
+    is entered after its partition is written, so an interrupted call lands it again.
+    """
+    spark = warehouse.spark
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .load(folder)
+        .select("path", "modificationTime")
+    )
+    known = "path string, modificationTime timestamp"
+    if not exists(spark, ledger):
+        spark.createDataFrame([], known).write.parquet(ledger)
+    handled = spark.read.schema(known).parquet(ledger).groupBy("path").agg(F.max("modificationTime").alias("seen"))
+    fresh = listing.join(handled, "path", "left").where("seen IS NULL OR modificationTime > seen").drop("seen")
+    fresh = materialize(fresh, "arrivals")
+    stats = land_files(warehouse, fresh)
+    fresh.write.mode("append").parquet(ledger)
+    return stats
