@@ -153,8 +153,8 @@ def relanded_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH held AS (SELECT DISTINCT DATE '2024-01-01' + CAST(c_custkey % 60 AS INTEGER) AS day, c_custkey % 7 AS part FROM customer)
     SELECT day, day < DATE '2024-02-10' - 19 AS outside FROM held
     WHERE day <= DATE '2024-02-10' GROUP BY day
-    HAVING count(*) FILTER (part = 0) > 0 AND count(*) FILTER (part IN (1, 2)) > 0 AND count(*) FILTER (part = 3) > 0
-       AND count(*) FILTER (part = 4) = 0
+    HAVING count(*) FILTER (part <= 3) > 0 AND count(*) FILTER (part BETWEEN 1 AND 4) > 0
+       AND count(*) FILTER (part BETWEEN 2 AND 5) > 0 AND count(*) FILTER (part = 4 AND day(day) % 3 = 0) = 0
        AND day >= (SELECT min(date_trunc('month', day)) FROM held WHERE part = 5)
 """)
 def due_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,11 +165,11 @@ def due_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     store = _store(spark)
     held = {
-        "raw.sales_details": ("part = 0", F.col("day")),
-        "raw.cust_info": ("part IN (1, 2)", F.col("day")),
-        "raw.loc_a101": ("part = 3", F.col("day")),
+        "raw.sales_details": ("part <= 3", F.col("day")),
+        "raw.cust_info": ("part BETWEEN 1 AND 4", F.col("day")),
+        "raw.loc_a101": ("part BETWEEN 2 AND 5", F.col("day")),
         "raw.prd_info": ("part = 5", F.trunc("day", "month")),
-        "reporting.rpt_sales_performance_by_product": ("part = 4", F.col("day")),
+        "reporting.rpt_sales_performance_by_product": ("part = 4 AND day(day) % 3 = 0", F.col("day")),
     }
     for name, (condition, day) in held.items():
         column = partition_column(name)
