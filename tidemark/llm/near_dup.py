@@ -7,12 +7,13 @@ many samples differ, most precisely for similar texts. In every bucket all membe
 against one of them, the one that a hash of bucket and member puts first; pairs whose sketches
 differ too much go, the others are confirmed on their full sets. Linked classes become
 components. Buckets that then still hold several components are searched pair by pair, where
-only pairs that the sketches pass leave the join. So a group of copies of any size costs a few
+only pairs that sizes and sketches pass leave the join. So a group of copies of any size costs a few
 pairs per member, and every pair that shares a bucket is either confirmed, or refuted, or in one
-component already.
+component already. In large buckets most pairs are refuted without looking at their sets: by the number
+of shingles that no other member has, and by wider sketches.
 
-Two texts at the threshold share no bucket with probability (1 - 0.8**4)**32, 5 in 100 million;
-the sketch test leaves six standard deviations of room.
+Two texts at the threshold share no bucket with probability (1 - 0.8**4)**32, 5 in 100 million,
+and their sketches differ too much (five standard deviations) with 3 in 10 million.
 """
 
 from __future__ import annotations
@@ -36,10 +37,14 @@ BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 256
 LEAST_ESTIMATE = 0.55  # of the sketches, for a threshold of 0.8
+LARGE_BUCKET = 32  # members of larger buckets are told apart by own shingles and wide sketches
+WIDE_SAMPLES, WIDE_BITS = 1024, 2048
+LEAST_WIDE_ESTIMATE = 0.735  # of the wide sketches, for a threshold of 0.8
 BROADCAST_IDS = 1_000_000
+CACHED_SHINGLES = 4_000_000
 
-_MULTIPLIERS = (stream(31, SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_SHIFTS = (stream(32, SAMPLES) >> np.uint64(32)).astype(np.uint32)
+_MULTIPLIERS = (stream(31, WIDE_SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_SHIFTS = (stream(32, WIDE_SAMPLES) >> np.uint64(32)).astype(np.uint32)
 
 SKETCHED = "doc_id long, n_shingles long, one long, two long, bands array<long>, sketch array<long>"
 
@@ -69,11 +74,11 @@ def shingle_sets(texts: Texts, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, n
     return hashes, np.searchsorted(docs, np.arange(len(texts) + 1))
 
 
-def min_hashes(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """``SAMPLES`` minima for each run of hashes that starts at ``begins``; no run may be empty."""
+def min_hashes(hashes: np.ndarray, begins: np.ndarray, n: int = SAMPLES) -> np.ndarray:
+    """``n`` minima for each run of hashes that starts at ``begins``; no run may be empty."""
     values = (hashes >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(begins), SAMPLES), np.uint32)
-    for k in range(SAMPLES):
+    out = np.empty((len(begins), n), np.uint32)
+    for k in range(n):
         scattered = (values + _SHIFTS[k]) * _MULTIPLIERS[k]
         scattered ^= scattered >> np.uint32(15)
         scattered *= np.uint32(0x2C1B3C6D)
@@ -81,20 +86,20 @@ def min_hashes(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of the samples, ``SKETCH_BITS`` bits in 64-bit numbers."""
-    out = np.zeros((len(samples), SKETCH_BITS // 64), np.uint64)
+def odd_sketches(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity bitmaps of the samples, ``bits`` bits in 64-bit numbers."""
+    out = np.zeros((len(samples), bits // 64), np.uint64)
     rows = np.arange(len(samples))
-    for k in range(SAMPLES):
-        place = mix(samples[:, k].astype(np.uint64) + (np.uint64(k) << np.uint64(40))) % np.uint64(SKETCH_BITS)
+    for k in range(samples.shape[1]):
+        place = mix(samples[:, k].astype(np.uint64) + (np.uint64(k) << np.uint64(40))) % np.uint64(bits)
         out[rows, (place >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (place & np.uint64(63))
     return out
 
 
-def most_differing_bits(estimate: float) -> int:
+def most_differing_bits(estimate: float, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> int:
     """Bits in which two sketches may differ and still estimate a similarity of ``estimate``."""
-    differing = 2 * SAMPLES * (1 - estimate)
-    return math.ceil(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** differing) / 2)
+    differing = 2 * samples * (1 - estimate)
+    return math.ceil(bits * (1 - (1 - 2 / bits) ** differing) / 2)
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
@@ -143,9 +148,9 @@ def sketches(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCHED)
 
 
-def differing_bits(a: str, b: str) -> Column:
+def differing_bits(a: str, b: str, bits: int = SKETCH_BITS) -> Column:
     """In how many bits two sketch columns differ."""
-    parts = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(SKETCH_BITS // 64)]
+    parts = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(bits // 64)]
     return sum(parts[1:], parts[0])
 
 
@@ -165,23 +170,68 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     both = pairs.join(texts.toDF("a", "left_text"), "a").join(texts.toDF("b", "right_text"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, 256):
-                batch = whole.slice(low, 256)
-                keep = []
-                for i in range(batch.num_rows):
-                    sets = []
-                    for name in ("left_text", "right_text"):
-                        (text,) = slices(batch.column(name).slice(i, 1))
-                        sets.append(shingle_sets(text, size)[0])
-                    shared = len(np.intersect1d(*sets, assume_unique=True))
-                    union = len(sets[0]) + len(sets[1]) - shared
-                    keep.append(union > 0 and 100 * shared >= percent * union)
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        sets: dict[bytes, np.ndarray] = {}  # of texts seen last; a document stands in many pairs
+        held = 0
+        for batch in batches:
+            keep = []
+            for texts in zip(batch.column("left_text"), batch.column("right_text")):
+                pair = []
+                for text in texts:
+                    raw = text.as_buffer().to_pybytes()
+                    found = sets.get(raw)
+                    if found is None:
+                        whole = Texts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 0)
+                        found = shingle_sets(whole, size)[0]
+                        if held > CACHED_SHINGLES:
+                            sets.clear()
+                            held = 0
+                        sets[raw] = found
+                        held += len(found)
+                    pair.append(found)
+                total = len(pair[0]) + len(pair[1])
+                together = np.sort(np.concatenate(pair), kind="stable")
+                shared = int((together[1:] == together[:-1]).sum())
+                keep.append(total > 0 and 100 * shared >= percent * (total - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "left_text", "right_text").mapInArrow(run, "a long, b long").distinct()
 
 
+def own_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """``rep`` and ``own``: how many shingles of each document no other one of ``texts`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                hashes, bounds = shingle_sets(part, size)
+                of = np.repeat(np.arange(len(part)), np.diff(bounds))
+                ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(of))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(signed(hashes))], names=["doc_id", "shingle"])
+
+    found = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
+    counts = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"))
+    return counts.where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+
+
+def wide_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """``rep``, ``n_shingles`` and ``wide``, a sketch of more samples in more bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                hashes, bounds = shingle_sets(part, size)
+                full = np.flatnonzero(np.diff(bounds))
+                if not len(full):
+                    continue
+                sketch = odd_sketches(min_hashes(hashes, bounds[:-1][full], WIDE_SAMPLES), WIDE_BITS)
+                ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(full))
+                counts = pa.array(np.diff(bounds)[full].astype(np.int64))
+                columns = [ids, counts, _lists(sketch, np.arange(len(full)), len(full))]
+                yield pa.RecordBatch.from_arrays(columns, names=["rep", "n_shingles", "wide"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, n_shingles long, wide array<long>")
+
+
 def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Sketched rows with their class (``rep``), and the component of each class that has links."""
     rows = docs.where("doc_id IS NOT NULL")
@@ -209,15 +259,39 @@ def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERC
 
     # Buckets of more than two that still hold several components: pairs with no hub in them.
     parts = shared.where("n > 2").join(linked, F.col("rep") == F.col("node"), "left")
-    parts = parts.select("bucket", "rep", "hub", F.coalesce("component", "rep").alias("part"))
+    parts = parts.select("bucket", "rep", "hub", "n", F.coalesce("component", "rep").alias("part"))
     mixed = parts.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    parts = parts.where("rep <> hub").join(mixed.select("bucket"), "bucket").join(heads.select("rep", "n_shingles", "sketch"), "rep")
-    parts = materialize(parts, "mixed-buckets")
+    parts = materialize(parts.where("rep <> hub").join(mixed.select("bucket"), "bucket"), "mixed-buckets")
     if parts.isEmpty():
         return found, linked
-    one = parts.select("bucket", *(F.col(x).alias(y) for x, y in (("rep", "a"), ("part", "p_a"), ("n_shingles", "n_a"), ("sketch", "s_a"))))
-    other = parts.select("bucket", *(F.col(x).alias(y) for x, y in (("rep", "b"), ("part", "p_b"), ("n_shingles", "n_b"), ("sketch", "s_b"))))
-    again = one.join(other, (one["bucket"] == other["bucket"]) & (F.col("a") < F.col("b")) & (F.col("p_a") != F.col("p_b")) & near)
+    large = F.col("n") > LARGE_BUCKET
+    ids = materialize(parts.where(large).select(F.col("rep").alias("doc_id")).distinct(), "large-bucket-ids")
+    texts = materialize(texts_of(rows, ids), "large-bucket-texts")
+    told = heads.select("rep", "n_shingles", "sketch", "bands").join(wide_sketches(texts, size), ["rep", "n_shingles"], "left")
+    told = materialize(told.join(own_shingles(texts, size), "rep", "left"), "told-apart")
+    parts = parts.join(told, "rep").select(
+        "bucket",
+        "rep",
+        "part",
+        "n_shingles",
+        "sketch",
+        F.when(large, F.col("wide")).alias("wide"),
+        F.when(large, F.col("bands")).alias("bands"),
+        F.when(large, F.col("n_shingles") - F.coalesce("own", F.lit(0))).otherwise(F.col("n_shingles")).alias("most"),
+    )
+    parts = materialize(parts, "mixed-members")
+    names = {"rep": "", "part": "p_", "n_shingles": "n_", "sketch": "s_", "most": "m_", "wide": "w_", "bands": "k_"}
+    one = parts.select("bucket", *(F.col(x).alias(f"{y}a") for x, y in names.items()))
+    other = parts.select("bucket", *(F.col(x).alias(f"{y}b") for x, y in names.items()))
+    apart = (F.col("a") < F.col("b")) & (F.col("p_a") != F.col("p_b"))
+    # A pair shares at most what its poorer member shares with the whole bucket.
+    enough = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    most = most_differing_bits(max(0.0, percent / 100 - (0.8 - LEAST_WIDE_ESTIMATE)), WIDE_SAMPLES, WIDE_BITS)
+    wide = F.coalesce(differing_bits("w_a", "w_b", WIDE_BITS) <= most, F.lit(True))
+    # Of the buckets that a pair shares, the first counts.
+    shared_keys = F.filter(F.zip_with("k_a", "k_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    first = F.coalesce(F.get(shared_keys, F.lit(0)) == one["bucket"], F.lit(True))
+    again = one.join(other, (one["bucket"] == other["bucket"]) & apart & enough & near & wide & first)
     more = confirmed(again.select("a", "b").distinct(), rows, size, percent)
     links = materialize(links.unionByName(more), "confirmed")
     return found, components(links)
