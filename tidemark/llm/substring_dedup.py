@@ -214,7 +214,9 @@ def repeated_spans(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame
     sources = edges.groupBy("edge").agg(
         F.min("doc").alias("source"), F.min_by("at", "doc").alias("source_at"), F.max("doc").alias("last")
     )
-    later = edges.join(sources.where("source < last").drop("last"), "edge").where("doc > source")
+    # A table of its own, so that the join has two plain shuffles and a frequent edge can be split.
+    sources = materialize(sources.where("source < last").drop("last"), "edge-sources")
+    later = edges.join(sources, "edge").where("doc > source").drop("edge")
     # Occurrences whose two coordinates advance together form one path.
     order = Window.partitionBy("doc", "content").orderBy("at")
     slope = F.col("at") - F.col("source_at")
