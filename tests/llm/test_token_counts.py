@@ -44,18 +44,19 @@ def test_trie_against_all_segmentations(seed):
 def test_prefixes_are_computed_once():
     trie = PrefixTrie({"a": -1, "ab": -1}, -9)
     trie.count("abab")
-    nodes = len(trie.best)
+    nodes = trie.size
     trie.count("aba")
     trie.count("abab")
-    assert len(trie.best) == nodes
+    assert trie.size == nodes
     trie.count("abac")
-    assert len(trie.best) == nodes + 1
+    assert trie.size == nodes + 1
 
 
 def test_long_words_are_not_stored():
-    trie = PrefixTrie({"a": -3, "aa": -4, "aaa": -5}, -9)
-    assert trie.count("a" * (LONG_WORD + 1)) == brute("a" * (LONG_WORD + 1), trie.scores, -9)
-    assert len(trie.best) == 1
+    scores = {"a": -3, "aa": -4, "aaa": -5}
+    trie = PrefixTrie(scores, -9)
+    assert trie.count("a" * (LONG_WORD + 1)) == brute("a" * (LONG_WORD + 1), scores, -9)
+    assert trie.size == 1
 
 
 def test_documents(spark, frame):

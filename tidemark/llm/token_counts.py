@@ -54,52 +54,62 @@ class PrefixTrie:
     """Best segmentations of all prefixes of the words in it."""
 
     def __init__(self, scores: dict[str, int], unknown: int):
-        self.scores, self.unknown = scores, unknown
-        self.longest = max(map(len, scores), default=1)
+        self.unknown = unknown
+        # Every ending of a piece, with the score of those that are pieces: no longer piece can
+        # end where a shorter run of characters ends none.
+        self.endings: dict[str, int | None] = {}
+        for piece in scores:
+            for begin in range(len(piece)):
+                self.endings.setdefault(piece[begin:], None)
+        self.endings.update(scores)
         self.clear()
 
     def clear(self) -> None:
         """Leave the root, the empty prefix, with no tokens."""
-        self.children: dict[tuple[int, str], int] = {}
-        self.best, self.tokens = [0], [0]
+        # A node is its best score, the tokens of that, and its children by character.
+        self.root: list = [0, 0, None]
+        self.size = 1
 
-    def _step(self, word: str, end: int, best: list[int], tokens: list[int]) -> tuple[int, int]:
-        """Score and tokens of ``word[:end]``; the lists hold those of shorter prefixes.
+    def _step(self, word: str, end: int, path: list[list]) -> list:
+        """The node of ``word[:end]``; ``path`` holds those of shorter prefixes.
 
         The higher score wins, of equal scores the fewer tokens.
         """
-        top, least = best[end - 1] + self.unknown, tokens[end - 1] + len(word[end - 1].encode("utf-8", "replace"))
-        get = self.scores.get
-        for begin in range(max(0, end - self.longest), end):
-            score = get(word[begin:end])
+        before, last = path[end - 1], word[end - 1]
+        top = before[0] + self.unknown
+        least = before[1] + (1 if last < "\x80" else len(last.encode("utf-8", "replace")))
+        endings = self.endings
+        for begin in range(end - 1, -1, -1):
+            run = word[begin:end]
+            if run not in endings:
+                break
+            score = endings[run]
             if score is not None:
-                score += best[begin]
-                if score > top or score == top and tokens[begin] + 1 < least:
-                    top, least = score, tokens[begin] + 1
-        return top, least
+                start = path[begin]
+                score += start[0]
+                if score > top or score == top and start[1] + 1 < least:
+                    top, least = score, start[1] + 1
+        return [top, least, None]
 
     def count(self, word: str) -> int:
         """Tokens of the word's best segmentation; the word joins the trie unless it is very long."""
+        node = self.root
+        path = [node]
         if len(word) > LONG_WORD:
-            best, tokens = [0], [0]
             for end in range(1, len(word) + 1):
-                top, least = self._step(word, end, best, tokens)
-                best.append(top)
-                tokens.append(least)
-            return tokens[-1]
-        node, children = 0, self.children
-        best, tokens = [0], [0]
+                path.append(self._step(word, end, path))
+            return path[-1][1]
         for end, character in enumerate(word, 1):
-            child = children.get((node, character))
+            children = node[2]
+            if children is None:
+                children = node[2] = {}
+            child = children.get(character)
             if child is None:
-                top, least = self._step(word, end, best, tokens)
-                child = children[node, character] = len(self.best)
-                self.best.append(top)
-                self.tokens.append(least)
+                child = children[character] = self._step(word, end, path)
+                self.size += 1
+            path.append(child)
             node = child
-            best.append(self.best[node])
-            tokens.append(self.tokens[node])
-        return tokens[-1]
+        return node[1]
 
 
 class Counter:
@@ -112,7 +122,7 @@ class Counter:
         """Words and tokens of each text."""
         words = hashed_words(texts)
         back, keys = pd.factorize(words.hashes)
-        if len(self.known) + len(keys) > MOST_WORDS or len(self.trie.best) > MOST_NODES:
+        if len(self.known) + len(keys) > MOST_WORDS or self.trie.size > MOST_NODES:
             self.known.clear()
             self.trie.clear()
         listed = keys.tolist()
