@@ -21,8 +21,8 @@ from tidemark.llm.token_ids import encoder
 from tidemark.llm.words import slices
 
 WINDOW = 2048
-GROUP_PIECES = 8192
-GROUP_BYTES = 24 << 20
+GROUP_PIECES = 4096
+GROUP_BYTES = 8 << 20
 
 PIECES = "doc_id long, start long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -78,7 +78,7 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
 
 def _cut(batch: pa.RecordBatch, path: str, end_id: int, window: int) -> Iterator[pa.RecordBatch]:
     coder = encoder(path)
-    for texts in slices(batch.column("text"), 2 << 20):
+    for texts in slices(batch.column("text")):
         ids, bounds = coder.encode(texts)
         counts = np.diff(bounds) + 1
         flat = np.empty(len(ids) + len(texts), "<u4")

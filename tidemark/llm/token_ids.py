@@ -18,7 +18,7 @@ import pandas as pd
 
 from tidemark.llm.words import LOWER, Texts, blocks, find_words, gather, span_hashes
 
-STORED_WORDS = 400_000
+STORED_WORDS = 200_000
 #: Words of Latin letters alone, or of ASCII marks alone (apostrophes may join letters).
 PLAIN = re.compile(r"[a-zß-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")
 
