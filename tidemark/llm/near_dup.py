@@ -38,8 +38,8 @@ SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 256
 LEAST_ESTIMATE = 0.55  # of the sketches, for a threshold of 0.8
 LARGE_BUCKET = 32  # members of larger buckets are told apart by own shingles and wide sketches
-WIDE_SAMPLES, WIDE_BITS = 1024, 2048
-LEAST_WIDE_ESTIMATE = 0.735  # of the wide sketches, for a threshold of 0.8
+WIDE_SAMPLES, WIDE_BITS = 4096, 8192
+LEAST_WIDE_ESTIMATE = 0.766  # of the wide sketches, for a threshold of 0.8
 BROADCAST_IDS = 1_000_000
 CACHED_SHINGLES = 4_000_000
 
@@ -148,9 +148,9 @@ def sketches(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCHED)
 
 
-def differing_bits(a: str, b: str, bits: int = SKETCH_BITS) -> Column:
+def differing_bits(a: str, b: str) -> Column:
     """In how many bits two sketch columns differ."""
-    parts = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(bits // 64)]
+    parts = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(SKETCH_BITS // 64)]
     return sum(parts[1:], parts[0])
 
 
@@ -287,7 +287,8 @@ def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERC
     # A pair shares at most what its poorer member shares with the whole bucket.
     enough = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     most = most_differing_bits(max(0.0, percent / 100 - (0.8 - LEAST_WIDE_ESTIMATE)), WIDE_SAMPLES, WIDE_BITS)
-    wide = F.coalesce(differing_bits("w_a", "w_b", WIDE_BITS) <= most, F.lit(True))
+    bits = F.zip_with("w_a", "w_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    wide = F.coalesce(F.aggregate(bits, F.lit(0), lambda total, n: total + n) <= most, F.lit(True))
     # Of the buckets that a pair shares, the first counts.
     shared_keys = F.filter(F.zip_with("k_a", "k_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
     first = F.coalesce(F.get(shared_keys, F.lit(0)) == one["bucket"], F.lit(True))
