@@ -21,7 +21,7 @@ def oracle():
 
 def test_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

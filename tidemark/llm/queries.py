@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, line_dedup, line_frequency, mixing, near_dup, nearest, packing, quality, substring_dedup, token_counts
+from tidemark.llm import (
+    archives,
+    line_dedup,
+    line_frequency,
+    mixing,
+    near_dup,
+    nearest,
+    packing,
+    quality,
+    substring_dedup,
+    token_counts,
+    vector_dup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,3 +270,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of earlier documents' windows."""
     kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT vec_id AS node, vec_id AS least FROM embeddings
+  UNION
+  SELECT b, least FROM reach JOIN links ON node = a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN counts ON vec_id = a
+JOIN (SELECT node, min(least) AS component_id FROM reach GROUP BY node) ON node = vec_id
+"""
+
+
+@query(VECTOR_SQL)
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, within labels."""
+    return vector_dup.near_vectors(_table(spark, sf_dir, "embeddings"))
