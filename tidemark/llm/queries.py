@@ -17,6 +17,7 @@ from tidemark.llm import (
     nearest,
     packing,
     quality,
+    resampling,
     substring_dedup,
     token_counts,
     vector_dup,
@@ -297,3 +298,63 @@ JOIN (SELECT node, min(least) AS component_id FROM reach GROUP BY node) ON node
 def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors, within labels."""
     return vector_dup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+RESAMPLE_SQL = r"""
+WITH RECURSIVE crcs AS (
+  SELECT list(crc ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, bit: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) AS crc
+    FROM (SELECT unnest(range(256)) AS i))
+), texts AS (
+  SELECT 'raw' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'target', item_id, text FROM benchmark
+), words AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), runs AS (
+  SELECT side, id, w[i] AS f FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM words)
+  UNION ALL
+  SELECT side, id, w[i] || ' ' || w[i + 1] FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words)
+  UNION ALL
+  SELECT side, id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM words)
+), counted AS (
+  SELECT side, id, f, count(*) AS n FROM runs GROUP BY ALL
+), hexed AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)
+), bytes AS (
+  SELECT f, list_transform(range(0, strlen(h) // 2), lambda i:
+           16 * (strpos('123456789ABCDEF', h[2 * i + 1])) + strpos('123456789ABCDEF', h[2 * i + 2])) AS b
+  FROM hexed
+), placed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crcs
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'raw'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 'target'), 0) AS t
+  FROM counted JOIN placed USING (f) GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM buckets
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM buckets, totals
+), weights AS (
+  SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM counted JOIN placed USING (f) JOIN gains USING (bucket) WHERE side = 'raw' GROUP BY id
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents JOIN words ON side = 'raw' AND id = doc_id LEFT JOIN weights ON weights.id = doc_id
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@query(RESAMPLE_SQL)
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of all documents for the benchmark, and the draw of a twentieth."""
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
