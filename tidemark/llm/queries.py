@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     archives,
+    collocations,
     line_dedup,
     line_frequency,
     mixing,
@@ -358,3 +359,48 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of all documents for the benchmark, and the draw of a twentieth."""
     drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+), one AS (
+  SELECT lang, x, count(*) AS f, sum(count(*)) OVER (PARTITION BY lang) AS n FROM placed GROUP BY lang, x
+), two AS (
+  SELECT lang, x, y, count(*) AS f FROM placed WHERE y IS NOT NULL GROUP BY lang, x, y HAVING count(*) >= 10
+), three AS (
+  SELECT lang, x, y, z, count(*) AS f FROM placed WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10
+), longer AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY lang, x, y
+), cuts AS (
+  SELECT c.lang, c.x || ' ' || c.y AS phrase, 1 AS k, c.f AS a, p.f AS l, q.f AS r, p.n
+  FROM two c JOIN one p ON p.lang = c.lang AND p.x = c.x JOIN one q ON q.lang = c.lang AND q.x = c.y
+  LEFT JOIN longer g ON g.lang = c.lang AND g.x = c.x AND g.y = c.y WHERE g.f IS NULL OR 100 * g.f < 50 * c.f
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, 1, c.f, p.f, q.f, p.n
+  FROM three c JOIN one p ON p.lang = c.lang AND p.x = c.x JOIN two q ON q.lang = c.lang AND q.x = c.y AND q.y = c.z
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, 2, c.f, p.f, q.f, q.n
+  FROM three c JOIN two p ON p.lang = c.lang AND p.x = c.x AND p.y = c.y JOIN one q ON q.lang = c.lang AND q.x = c.z
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASE_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language of all documents."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))

@@ -193,7 +193,7 @@ def resample(
     keys = scored.where(asked).select(key.alias("key"))
     k = keys.count() * share[0] // share[1]
     out = ["doc_id", "n_features", "weight", "score", "rank", "n_words"]
-    last = kth_smallest(keys, k)
+    last = kth_smallest(keys, k, PIVOT_KEYS)
     if last is None:
         return scored.withColumn("rank", F.lit(None).cast("long")).select(*out)
     won = F.coalesce(asked & (key <= _literal(last, keys)), F.lit(False))
