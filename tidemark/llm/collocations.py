@@ -46,10 +46,10 @@ MOST_SAMPLES = 1_000_000
 class Sizes:
     """What a task holds at a time; larger executors may take more."""
 
-    shard_words: int = 2 << 20  # words that a task sorts at a time
+    shard_words: int = 1 << 20  # words that a task sorts at a time
     shard_bytes: int = 64 << 20  # of their distinct words, repeated for each slice of texts
     chunk_rows: int = 1 << 18  # windows of one automaton of a shard
-    range_rows: int = 2 << 20  # windows in one range, those of several shards each by itself, about
+    range_rows: int = 1 << 20  # windows in one range, those of several shards each by itself, about
     answer_bytes: int = 32 << 20  # of questions that one task answers
 
     @property
