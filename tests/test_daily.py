@@ -293,6 +293,56 @@ def test_day_by_day_equals_range_and_new_month_supersedes(spark, built, tmp_path
     assert len(rows_of(warehouse, "mart.dim_customers", MAY, "customer_key")) == 5
 
 
+def test_landed_again_days_become_stale_and_are_built_from_the_day_before(spark, tmp_path):
+    forget(spark)
+    warehouse = prepare(spark, tmp_path)
+    for day in (D1, D2, D3):
+        land_day(warehouse, tmp_path, day)
+    land_products(warehouse, tmp_path, D1)
+    daily.build(warehouse, D1, D3, today=TODAY)
+    assert daily.stale(warehouse).count() == 0 and daily.pending(warehouse, D3).count() == 0
+
+    def state_scan(day):
+        changes = daily.marts.location_changes(warehouse.table("staging.stg_erp_LOC_A101"))
+        return daily._state(warehouse, "state.locations", changes, daily.marts.location_state, day, day)
+
+    # A daily build reads the state of the day before and the changes of the day.
+    files = state_scan(D2).inputFiles()
+    assert {f.split("snapshot_date=")[1][:10] for f in files} == {str(D1), str(D2)} and len(files) == 2
+    assert sum("/state/locations/" in f for f in files) == 1
+
+    again = [("AW-00000001", "FR"), ("AW-00000004", "DE")]
+    land_day(warehouse, tmp_path, D2, locations=again)
+    found = {(r.table_name, r.day): r.changed for r in daily.stale(warehouse).collect()}
+    staged = ["stg_crm_cust_info", "stg_crm_sales_details", "stg_erp_LOC_A101"]
+    assert {k for k, changed in found.items() if changed} == {(f"staging.{n}", D2) for n in staged}
+    later = {n for n, d in found if d == D3}
+    assert later == {
+        "state.customers", "state.locations", "mart.dim_customers", "reporting.rpt_sales_summary_by_customer",
+        "reporting.rpt_sales_performance_by_product", "mart.fct_sales", "ml_features.customer_rfm",
+    }
+    assert not any(d == D1 for _, d in found)
+    assert tuples(daily.pending(warehouse, D3)) == [(D2, False, "stale"), (D3, False, "stale")]
+
+    # Day 3 alone: its state may not start from that of day 2, which is stale.
+    daily.build(warehouse, D2, D3, today=TODAY)
+    assert daily.stale(warehouse).count() == 0
+    places = rows_of(warehouse, "mart.dim_customers", D3, "customer_id", "country")
+    assert places[1:] == [(1, "France"), (2, "Germany"), (3, "N/A"), (4, "Germany")]
+    land_day(warehouse, tmp_path, D1, locations=[("AW-00000002", "US")])
+    daily.build(warehouse, D1, today=TODAY)
+    assert {f.split("/warehouse/")[1].split("/")[0] for f in state_scan(D3).inputFiles()} == {"staging"}
+    places = tuples(state_scan(D3).select("CID", "CNTRY"))
+    assert places == [("AW00000001", "France"), ("AW00000002", "United States"), ("AW00000004", "Germany")]
+
+    land_products(warehouse, tmp_path, D1)  # the month again: every day that uses it
+    found = {(r.table_name, r.day) for r in daily.stale(warehouse).collect()}
+    assert {d for n, d in found if n == "mart.dim_products_history"} == {D1, D2, D3}
+    assert ("staging.stg_crm_prd_info", D1) in found
+    assert daily._product_days(warehouse, D2, D3) == [D1]
+    forget(spark)
+
+
 def test_monthly_files_with_changes_only(frame):
     rows = [
         (1, "AC-HE-X", "old", 1, "R", dt.date(2011, 7, 1), D1), (2, "AC-HE-Y", "kept", 2, "M", dt.date(2011, 7, 1), D1),
@@ -313,9 +363,10 @@ def test_failed_test_stops_the_build(spark, tmp_path):
     forget(spark)
     warehouse = prepare(spark, tmp_path)
     land_day(warehouse, tmp_path, D1, locations=[("AW-00000001", "US"), ("AW00000001", "UK")])
-    with pytest.raises(DataTestFailure, match="stg_erp_LOC_A101: unique_combination"):
+    with pytest.raises(DataTestFailure, match="stg_erp_LOC_A101: unique_combination") as failure:
         daily.build(warehouse, D1, today=TODAY)
-    assert warehouse.table("staging.stg_erp_LOC_A101").count() == 2, "what was written stays for inspection"
+    assert warehouse.staged_rows(failure.value.staged).count() == 2, "what was written stays for inspection"
+    assert warehouse.table("staging.stg_erp_LOC_A101").count() == 0, "and is not published"
     assert warehouse.table("mart.dim_customers").count() == 0
     forget(spark)
 

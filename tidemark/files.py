@@ -48,6 +48,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(file)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is seen whole or not at all."""
+    file_system, file = _located(spark, path)
+    folder, name = path.rsplit("/", 1)
+    _, hidden = _located(spark, f"{folder}/_{name}.tmp")
+    file_system.mkdirs(file.getParent())
+    stream = file_system.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not file_system.rename(hidden, file):
+        raise OSError(f"{path} can not be written")
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a text file, without a job."""
     file_system, file = _located(spark, path)

@@ -167,3 +167,17 @@ def freshness_audit(
             )
         )
     return _union(checks)
+
+
+def freshness_of_loads(loads: DataFrame, rules: Mapping[str, Freshness], now: dt.datetime) -> DataFrame:
+    """Like ``freshness_audit``, from the times at which partitions were published.
+
+    ``loads`` has ``table_name`` and ``published_at``, as a warehouse's statistics do; no data file is
+    opened. A table that nothing was ever published to fails.
+    """
+    limits = [(name, rule.oldest_allowed(now).isoformat(sep=" ")) for name, rule in rules.items()]
+    asked = loads.sparkSession.createDataFrame(limits, "table_name string, oldest_allowed string")
+    asked = asked.withColumn("oldest_allowed", F.col("oldest_allowed").cast("timestamp_ntz"))
+    newest = loads.groupBy("table_name").agg(F.max(F.col("published_at").cast("timestamp_ntz")).alias("newest"))
+    status = F.when(F.col("newest") >= F.col("oldest_allowed"), "PASS").otherwise("FAIL").alias("status")
+    return asked.join(newest, "table_name", "left").select("table_name", "newest", "oldest_allowed", status)

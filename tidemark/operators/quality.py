@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -30,7 +30,11 @@ DataTest = NotNull | UniqueCombination
 
 
 class DataTestFailure(RuntimeError):
-    """A test of severity ``error`` failed."""
+    """A test of severity ``error`` failed; ``staged`` are the rows, where they were not published."""
+
+    def __init__(self, message: str, staged: object = None):
+        super().__init__(message)
+        self.staged = staged
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -104,12 +108,28 @@ def audit_all(tables: Mapping[str, tuple[DataFrame, Sequence[DataTest]]]) -> Dat
     )
 
 
+def not_null_results(table: str, tests: Sequence[NotNull], nulls: Mapping[str, int]) -> list[Row]:
+    """Results of not-null tests from NULLs that were counted before, in the shape of ``audit``."""
+    results = []
+    for test in tests:
+        failures = nulls.get(test.column, 0)
+        status = "pass" if failures == 0 else "fail" if test.severity == "error" else "warn"
+        results.append(
+            Row(table_name=table, test="not_null", column_names=test.column, severity=test.severity, failures=failures, status=status)
+        )
+    return results
+
+
 def enforce(report: DataFrame) -> list:
     """Raise if a test of severity ``error`` failed; the other results are returned.
 
     The report has one row per declared test, so collecting it is bounded by the declarations.
     """
-    results = report.collect()
+    return require(report.collect())
+
+
+def require(results: list) -> list:
+    """Raise if one of the results is that of a failed test of severity ``error``."""
     failed = [f"{r.table_name}: {r.test}({r.column_names}) {r.failures}" for r in results if r.status == "fail"]
     if failed:
         raise DataTestFailure("; ".join(failed))

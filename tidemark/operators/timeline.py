@@ -52,6 +52,23 @@ def daily_state(
     return days.withColumn(state_day, F.col("_on")).drop("_on")
 
 
+def state_from_previous(
+    previous: DataFrame, changes: DataFrame, day: str, start: dt.date, end: dt.date, state_day: str = "snapshot_date"
+) -> DataFrame:
+    """A change log for ``[start, end]`` that holds the state of the day before instead of older changes.
+
+    ``previous`` is a table of daily states, of which only the day before ``start`` is read;
+    ``changes`` is the log, of which only ``[start, end]`` is. Given to ``daily_state``, it makes
+    the same states as the whole log does.
+    """
+    before = previous.where(F.col(state_day) == F.lit(start - ONE_DAY)).drop(state_day)
+    if start == end:
+        fresh = changes.where(F.col(day) == F.lit(start))
+    else:
+        fresh = changes.where(F.col(day).between(F.lit(start), F.lit(end)))
+    return before.unionByName(fresh.select(*before.columns))
+
+
 def scd2_close_out(
     df: DataFrame,
     keys: Sequence[str],

@@ -1,25 +1,37 @@
-"""Land files, build the tables of a day or a range of days, test what was written."""
+"""Land files, build the tables of a day or a range of days, test what was written, then publish it."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.partitions import partition_readiness, unbuilt_partitions
-from tidemark.operators.quality import audit, enforce
+from tidemark.operators.partitions import (
+    LANDING_DAILY,
+    LANDING_MONTHLY,
+    ML,
+    MODELS,
+    Freshness,
+    freshness_of_loads,
+    partition_readiness,
+    unbuilt_partitions,
+)
+from tidemark.operators.quality import DataTest, DataTestFailure, NotNull, audit, enforce, not_null_results, require
+from tidemark.operators.staleness import stale_partitions
+from tidemark.operators.timeline import ONE_DAY, state_from_previous
 from tidemark.plans import marts, ml, reporting, staging
 from tidemark.plans.declared_tests import DECLARED
-from tidemark.plans.staging import SNAPSHOT, in_days
-from tidemark.schemas import RAW_TABLES, partition_column
+from tidemark.plans.staging import MONTH, SNAPSHOT, in_days
+from tidemark.schemas import RAW_TABLES, TABLES, partition_column
 from tidemark.scratch import discarding
-from tidemark.sinks.warehouse import LoadStats, Warehouse
+from tidemark.sinks.versions import HISTORY, NEWEST, SAME_DAY, STATIC
+from tidemark.sinks.warehouse import LoadStats, Staged, Warehouse
 from tidemark.sources.landing import read_seed, read_snapshot
 
 
@@ -43,6 +55,45 @@ def load_seed(warehouse: Warehouse, path: str, table: str) -> None:
     warehouse.replace_static(table, read_seed(warehouse.spark, path, table))
 
 
+def tested(warehouse: Warehouse, staged: Staged, tests: Sequence[DataTest] | None = None) -> list:
+    """Run a table's declared tests on what is staged; a failed error-level test raises.
+
+    NULLs were counted when the rows were written; other tests read the staged files. Rows that
+    failed stay where they are staged: the error names the folder, ``staged`` has them.
+    """
+    declared = DECLARED.get(staged.table, []) if tests is None else tests
+    not_null = [t for t in declared if isinstance(t, NotNull)]
+    others = [t for t in declared if not isinstance(t, NotNull)]
+    results = not_null_results(staged.table, not_null, staged.null_counts())
+    if others:
+        results += audit(warehouse.staged_rows(staged), staged.table, others).collect()
+    try:
+        return require(results)
+    except DataTestFailure as failure:
+        raise DataTestFailure(f"{failure}; the rows are in {staged.path}", staged) from None
+
+
+def publish_tested(
+    warehouse: Warehouse,
+    name: str,
+    rows: Callable[[], DataFrame],
+    many_days: bool = True,
+    result: BuildResult | None = None,
+) -> LoadStats:
+    """Write, test, publish: the table changes only if no test of severity ``error`` failed.
+
+    ``rows`` makes the rows; the versions of the inputs are noted before it is called.
+    """
+    inputs = warehouse.log.noted(READS.get(name, {}))
+    staged = warehouse.stage(name, rows(), many_days=many_days)
+    results = tested(warehouse, staged)
+    load = warehouse.publish(staged, inputs)
+    if result is not None:
+        result.tests += results
+        result.loads.append(load)
+    return load
+
+
 def _test(warehouse: Warehouse, name: str, start: dt.date, end: dt.date, result: BuildResult) -> None:
     """Test the partitions just built; a failed error-level test stops the build here."""
     if name not in DECLARED:
@@ -51,11 +102,65 @@ def _test(warehouse: Warehouse, name: str, start: dt.date, end: dt.date, result:
     result.tests += enforce(audit(rows, name, DECLARED[name]))
 
 
+def _current(warehouse: Warehouse, name: str, day: dt.date) -> bool:
+    """Whether a partition is built, and from the versions that its inputs have now."""
+    built = warehouse.log.of(name).get(day)
+    return built is not None and built.inputs == warehouse.log.noted(READS[name])(day)
+
+
 def _product_days(w: Warehouse, start: dt.date, end: dt.date) -> list[dt.date]:
-    """Days on which staged products are due: month snapshots in range or never staged."""
+    """Days on which staged products are due: month snapshots in range, never staged, or landed again since."""
     landed = [d for d in w.days("raw.prd_info") if d <= end]
-    staged = set(w.days("staging.stg_crm_prd_info"))
-    return [d for d in landed if d >= start or d not in staged]
+    return [d for d in landed if d >= start or not _current(w, "staging.stg_crm_prd_info", d)]
+
+
+# How each table finds the partitions of its inputs.
+READS: dict[str, dict[str, str]] = {
+    "staging.stg_crm_cust_info": {"raw.cust_info": SAME_DAY},
+    "staging.stg_crm_prd_info": {"raw.prd_info": NEWEST},
+    "staging.stg_crm_sales_details": {"raw.sales_details": SAME_DAY},
+    "staging.stg_erp_CUST_AZ12": {"seeds.CUST_AZ12": STATIC},
+    "staging.stg_erp_LOC_A101": {"raw.loc_a101": SAME_DAY},
+    "staging.stg_erp_PX_CAT_G1V2": {"seeds.PX_CAT_G1V2": STATIC},
+    "state.customers": {"staging.stg_crm_cust_info": HISTORY},
+    "state.locations": {"staging.stg_erp_LOC_A101": HISTORY},
+    "mart.dim_customers": {
+        "state.customers": SAME_DAY,
+        "state.locations": SAME_DAY,
+        "staging.stg_erp_CUST_AZ12": SAME_DAY,
+    },
+    "mart.dim_products_history": {
+        "staging.stg_crm_prd_info": NEWEST,
+        "staging.stg_erp_PX_CAT_G1V2": SAME_DAY,
+    },
+    "mart.dim_products": {"mart.dim_products_history": SAME_DAY},
+    "mart.fct_sales": {
+        "staging.stg_crm_sales_details": SAME_DAY,
+        "mart.dim_products": SAME_DAY,
+        "mart.dim_customers": SAME_DAY,
+    },
+    "reporting.rpt_sales_summary_by_customer": {"mart.fct_sales": SAME_DAY, "mart.dim_customers": SAME_DAY},
+    "reporting.rpt_sales_performance_by_product": {"mart.fct_sales": SAME_DAY, "mart.dim_products": SAME_DAY},
+    "ml_features.customer_rfm": {"reporting.rpt_sales_summary_by_customer": SAME_DAY},
+}
+
+
+def _state(
+    warehouse: Warehouse,
+    name: str,
+    changes: DataFrame,
+    advance: Callable[[DataFrame, dt.date, dt.date], DataFrame],
+    start: dt.date,
+    end: dt.date,
+) -> DataFrame:
+    """States of the days from the state of the day before and the days' changes.
+
+    Where the day before is missing, or any partition that its state was made from has been
+    added or replaced since, the whole log is read instead.
+    """
+    if _current(warehouse, name, start - ONE_DAY):
+        changes = state_from_previous(warehouse.table(name), changes, "changed_on", start, end)
+    return advance(changes, start, end)
 
 
 Builder = Callable[[Warehouse, dt.date, dt.date, dt.date | None], DataFrame]
@@ -77,12 +182,14 @@ DAILY_TABLES: dict[str, Builder] = {
     "staging.stg_erp_PX_CAT_G1V2": lambda w, a, b, _: staging.erp_px_cat(
         w.table("seeds.PX_CAT_G1V2"), a, b
     ),
-    "mart.dim_customers": lambda w, a, b, _: marts.dim_customers(
-        w.table("staging.stg_crm_cust_info"),
-        w.table("staging.stg_erp_CUST_AZ12"),
-        w.table("staging.stg_erp_LOC_A101"),
-        a,
-        b,
+    "state.customers": lambda w, a, b, _: _state(
+        w, "state.customers", marts.customer_changes(w.table("staging.stg_crm_cust_info")), marts.customer_state, a, b
+    ),
+    "state.locations": lambda w, a, b, _: _state(
+        w, "state.locations", marts.location_changes(w.table("staging.stg_erp_LOC_A101")), marts.location_state, a, b
+    ),
+    "mart.dim_customers": lambda w, a, b, _: marts.dim_customers_of(
+        w.table("state.customers"), w.table("staging.stg_erp_CUST_AZ12"), w.table("state.locations"), a, b
     ),
     "mart.dim_products_history": lambda w, a, b, _: marts.dim_products_history(
         w.table("staging.stg_crm_prd_info"), w.table("staging.stg_erp_PX_CAT_G1V2"), a, b
@@ -112,8 +219,8 @@ DAILY_TABLES: dict[str, Builder] = {
 # Tables of one step do not read each other and are built side by side.
 STEPS: tuple[tuple[str, ...], ...] = (
     tuple(name for name in DAILY_TABLES if name.startswith("staging.")),
-    ("mart.dim_customers", "mart.dim_products_history"),
-    ("mart.dim_products",),
+    ("state.customers", "state.locations", "mart.dim_products_history"),
+    ("mart.dim_customers", "mart.dim_products"),
     ("mart.fct_sales",),
     tuple(name for name in DAILY_TABLES if name.startswith("reporting.")),
     ("ml_features.customer_rfm",),
@@ -128,10 +235,12 @@ def _stage_products(
     if not days:
         return
     name, first, last = "staging.stg_crm_prd_info", days[0], days[-1]
-    rows = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
-    rows = rows.where(F.col(SNAPSHOT).isin(days))
-    result.loads.append(warehouse.replace_present(name, rows, first != last))
-    _test(warehouse, name, first, last, result)
+
+    def rows() -> DataFrame:
+        products = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
+        return products.where(F.col(SNAPSHOT).isin(days))
+
+    publish_tested(warehouse, name, rows, first != last, result)
 
 
 def _side_by_side(warehouse: Warehouse, tasks: list[Callable[[], None]]) -> None:
@@ -146,11 +255,13 @@ def build(
 ) -> BuildResult:
     """Build every SQL table for the days ``start..end``, one job per table.
 
-    Each table is written, then tested; tables below a failed test are not built. Days in
-    range are replaced, all others stay as they are.
+    Each table is written, tested, and published if no test failed; tables below a failed test are
+    not built, and the failed table still shows its old rows. Days in range are replaced, all
+    others stay as they are.
     """
     last = end or start
     result = BuildResult()
+    warehouse.log.reload()
     warehouse.create()
 
     def test_raw() -> None:
@@ -159,9 +270,8 @@ def build(
 
     def table(name: str) -> None:
         with discarding(warehouse.spark):
-            rows = DAILY_TABLES[name](warehouse, start, last, today)
-            result.loads.append(warehouse.replace_present(name, rows, start != last))
-        _test(warehouse, name, start, last, result)
+            rows = partial(DAILY_TABLES[name], warehouse, start, last, today)
+            publish_tested(warehouse, name, rows, start != last, result)
 
     sources = [test_raw, lambda: _stage_products(warehouse, start, last, result)]
     for step in STEPS:
@@ -170,6 +280,11 @@ def build(
     return result
 
 
+def _outside(as_of: dt.date, lookback: int | None) -> Column:
+    """Whether ``day`` is more than ``lookback`` days back."""
+    return F.col("day") < F.lit(as_of - dt.timedelta(days=lookback - 1)) if lookback else F.lit(False)
+
+
 def due(warehouse: Warehouse, as_of: dt.date, lookback: int | None = None) -> DataFrame:
     """Days that can be built and are not: ``day`` and ``outside``.
 
@@ -185,8 +300,46 @@ def due(warehouse: Warehouse, as_of: dt.date, lookback: int | None = None) -> Da
         warehouse.inventory(*sources), sources, warehouse.inventory("raw.prd_info"), ["raw.prd_info"]
     )
     open_days = unbuilt_partitions(ready.where(F.col("day") <= F.lit(as_of)), warehouse.inventory(last))
-    first = as_of - dt.timedelta(days=lookback - 1) if lookback else dt.date.min
-    return open_days.withColumn("outside", F.col("day") < F.lit(first))
+    return open_days.withColumn("outside", _outside(as_of, lookback))
+
+
+def stale(warehouse: Warehouse) -> DataFrame:
+    """``table_name, day, changed``: built partitions that would be made from other inputs now.
+
+    A day that was landed again, a month that came late or a day added to the history makes
+    everything built from it stale, up to the reports. From the version log alone.
+    """
+    warehouse.log.reload()
+    newest = warehouse.log.newest()
+    built = newest.where(F.col("day").isNotNull() & F.col("table_name").isin(*READS))
+    return stale_partitions(
+        built.select("table_name", "day", "inputs"), newest.select("table_name", "day", "version"), READS
+    )
+
+
+def pending(warehouse: Warehouse, as_of: dt.date, lookback: int | None = None) -> DataFrame:
+    """``day, outside, reason``: days to build up to ``as_of``, ``missing`` as by ``due``, or ``stale``."""
+    missing = due(warehouse, as_of, lookback).withColumn("reason", F.lit("missing"))
+    changed = stale(warehouse).where(F.col("day") <= F.lit(as_of)).select("day").distinct()
+    changed = changed.join(missing.select("day"), "day", "left_anti")
+    changed = changed.select("day", _outside(as_of, lookback).alias("outside"), F.lit("stale").alias("reason"))
+    return missing.unionByName(changed)
+
+
+def _deadline(name: str) -> Freshness | None:
+    """The freshness rule of a table's layer; static tables have none."""
+    column = partition_column(name)
+    if column is None:
+        return None
+    if name.startswith("raw."):
+        return LANDING_MONTHLY if column == MONTH else LANDING_DAILY
+    return ML if name.startswith("ml_features.") else MODELS
+
+
+def freshness(warehouse: Warehouse, now: dt.datetime) -> DataFrame:
+    """When each table was last published, against its deadline; from the version log alone."""
+    rules = {name: rule for name in TABLES if (rule := _deadline(name)) is not None}
+    return freshness_of_loads(warehouse.statistics(), rules, now)
 
 
 def train(warehouse: Warehouse, day: dt.date) -> list[LoadStats]:

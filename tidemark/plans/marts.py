@@ -17,21 +17,43 @@ from tidemark.operators.timeline import bridge_to_days, daily_state
 from tidemark.plans.staging import SNAPSHOT, in_days, with_load_time
 
 
+PERSON = ["cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr", "cst_create_date"]
+
+
+def customer_changes(customers: DataFrame) -> DataFrame:
+    """Staged customers as a change log."""
+    return customers.select(*PERSON, F.col(SNAPSHOT).alias("changed_on"))
+
+
+def location_changes(locations: DataFrame) -> DataFrame:
+    """Staged locations as a change log."""
+    return locations.select("CID", "CNTRY", F.col(SNAPSHOT).alias("changed_on"))
+
+
+def customer_state(changes: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Newest record of each customer on each day."""
+    return daily_state(changes, ["cst_id"], "changed_on", start, end)
+
+
+def location_state(changes: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Newest location of each customer on each day."""
+    return daily_state(changes, ["CID"], "changed_on", start, end)
+
+
 def dim_customers(
     customers: DataFrame, reference: DataFrame, locations: DataFrame, start: dt.date, end: dt.date
 ) -> DataFrame:
     """Customer state of each day: newest record and newest location carried forward."""
-    person = daily_state(
-        customers.select(
-            "cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status",
-            "cst_gndr", "cst_create_date", F.col(SNAPSHOT).alias("changed_on"),
-        ),
-        ["cst_id"], "changed_on", start, end,
-    )
-    place = daily_state(
-        locations.select("CID", "CNTRY", F.col(SNAPSHOT).alias("changed_on")),
-        ["CID"], "changed_on", start, end,
-    ).drop("changed_on")
+    person = customer_state(customer_changes(customers), start, end)
+    place = location_state(location_changes(locations), start, end)
+    return dim_customers_of(person, reference, place, start, end)
+
+
+def dim_customers_of(
+    person: DataFrame, reference: DataFrame, place: DataFrame, start: dt.date, end: dt.date
+) -> DataFrame:
+    """Customers of each day from the states of that day."""
+    person, place = in_days(person, start, end), in_days(place, start, end).drop("changed_on")
     erp = in_days(reference, start, end).select("CID", "BDATE", "GEN", SNAPSHOT)
     p, e, l = person.alias("p"), erp.alias("e"), place.alias("l")
     joined = p.join(

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import partitions, quality, summaries
 from tidemark.operators.quality import NotNull, UniqueCombination
+from tidemark.operators.staleness import partition_inputs, stale_partitions
 from tidemark.queries import query
 from tidemark.queries.inputs import EVENTS_AS_OF, events, order_span, orders, read
-from tidemark.scratch import scratch_path
+from tidemark.scratch import materialize, scratch_path
+from tidemark.sinks.versions import HISTORY, NEWEST, SAME_DAY
 from tidemark.sinks.warehouse import Warehouse, replace_partition_at, write_partitions
 from tidemark.sources import routing
 
@@ -352,3 +355,63 @@ def two_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
         frames.append((root, store))
     tables = [store.table("raw.loc_a101").withColumn("root", F.lit(root)) for root, store in frames]
     return tables[0].unionByName(tables[1])
+
+
+STALE_READS = {
+    "target": {"daily": SAME_DAY, "monthly": NEWEST, "log": HISTORY},
+    "report": {"target": SAME_DAY},
+    "rolling": {"report": HISTORY},
+}
+
+
+@query("""
+    WITH o AS (
+        SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS k, o_orderkey % 997 = 0 AS late, o_orderpriority AS p, o_orderstatus AS s
+        FROM orders
+    ), v AS (
+        SELECT 'daily' AS t, day, max(k) AS now, max(k) FILTER (NOT late) AS was FROM o GROUP BY day
+        UNION ALL
+        SELECT 'monthly', CAST(date_trunc('month', day) AS DATE), max(k), max(k) FILTER (NOT late) FROM o
+        WHERE s = 'F' AND day(day) % 7 = 0 GROUP BY 2
+        UNION ALL
+        SELECT 'log', day, max(k), max(k) FILTER (NOT late) FROM o WHERE p = '1-URGENT' AND day > DATE '2001-07-10' GROUP BY day
+    ), built AS (
+        SELECT DISTINCT day FROM o WHERE p = '5-LOW'
+    ), changed AS (
+        SELECT b.day FROM built b
+        WHERE (SELECT max(now) FROM v WHERE t = 'daily' AND v.day = b.day)
+              IS DISTINCT FROM (SELECT max(was) FROM v WHERE t = 'daily' AND v.day = b.day)
+           OR (SELECT arg_max(now, v.day) FROM v WHERE t = 'monthly' AND v.day <= b.day)
+              IS DISTINCT FROM (SELECT arg_max(was, v.day) FROM v WHERE t = 'monthly' AND v.day <= b.day AND was IS NOT NULL)
+           OR (SELECT max(now) FROM v WHERE t = 'log' AND v.day <= b.day)
+              IS DISTINCT FROM (SELECT max(was) FROM v WHERE t = 'log' AND v.day <= b.day)
+    )
+    SELECT 'target' AS table_name, day, true AS changed FROM changed
+    UNION ALL SELECT 'report', day, false FROM changed
+    UNION ALL SELECT 'rolling', day, false FROM built WHERE day >= (SELECT min(day) FROM changed)
+""")
+def stale_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of three tables that late orders make stale: a day landed again, a month, a history that grew.
+
+    Partitions have the greatest order key as their version; a table was built without every 997th order.
+    """
+    sales = orders(spark, sf_dir).select("day", "o_orderkey", "o_orderpriority", "o_orderstatus")
+
+    def versions(rows: DataFrame) -> DataFrame:
+        version = F.lpad(F.max("o_orderkey").cast("string"), 12, "0").alias("version")
+        month = F.trunc("day", "month").alias("day")
+        finished = rows.where("o_orderstatus = 'F' AND day(day) % 7 = 0").groupBy(month).agg(version)
+        urgent = rows.where("o_orderpriority = '1-URGENT' AND day > DATE'2001-07-10'").groupBy("day").agg(version)
+        parts = {"daily": rows.groupBy("day").agg(version), "monthly": finished, "log": urgent}
+        return reduce(DataFrame.unionByName, [x.select(F.lit(t).alias("table_name"), "*") for t, x in parts.items()])
+
+    days = sales.where("o_orderpriority = '5-LOW'").select("day").distinct()
+    own = [days.select(F.lit(t).alias("table_name"), "day", F.lit("built").alias("version")) for t in STALE_READS]
+    was = versions(sales.where("o_orderkey % 997 <> 0")).unionByName(reduce(DataFrame.unionByName, own))
+    now = versions(sales).unionByName(reduce(DataFrame.unionByName, own))
+    nothing = F.lit(None).cast("map<string, string>").alias("inputs")
+    names = reduce(DataFrame.unionByName, own).select("table_name", "day")
+    seen = partition_inputs(names.select("*", nothing), was, STALE_READS).where("current IS NOT NULL")
+    entries = F.map_from_entries(F.collect_list(F.struct("input_name", "current"))).alias("inputs")
+    noted = names.join(seen.groupBy("table_name", "day").agg(entries), ["table_name", "day"], "left")
+    return stale_partitions(materialize(noted, "built"), materialize(now, "versions"), STALE_READS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from tidemark.queries.inputs import (
     read,
     span,
 )
-from tidemark.scratch import materialize
+from tidemark.scratch import materialize, scratch_path
+from tidemark.sinks.warehouse import write_partitions
 
 LOG = "SELECT user_id, ts, event_id, event_type, value, CAST(ts AS DATE) AS day FROM events"
 
@@ -183,3 +186,32 @@ def surrogate_key_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.surrogate_key(
         rows, "order_number", ["o_custkey", "o_orderkey"], within=["o_orderstatus", "day"]
     )
+
+
+STATE_DAYS = EVENTS_AS_OF, EVENTS_AS_OF + dt.timedelta(days=2)
+
+
+@query(f"""
+    WITH days AS (
+        SELECT CAST(d AS DATE) AS snapshot_date
+        FROM generate_series(DATE '{STATE_DAYS[0]}', DATE '{STATE_DAYS[1]}', INTERVAL 1 DAY) t(d)
+    )
+    SELECT user_id, snapshot_date, day AS changed_on, event_id, event_type, value FROM (
+        SELECT l.*, snapshot_date,
+               ROW_NUMBER() OVER (PARTITION BY user_id, snapshot_date ORDER BY day DESC, ts DESC, event_id DESC) AS rn
+        FROM ({LOG}) l JOIN days ON day <= snapshot_date
+    ) WHERE rn = 1
+""")
+def state_from_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of three days from the stored state of the day before them and the changes of the three."""
+    log = events(spark, sf_dir)
+    eve = STATE_DAYS[0] - timeline.ONE_DAY
+    path = scratch_path(spark, "states")
+    before = timeline.daily_state(log, ["user_id"], "day", eve, eve, newest=["ts", "event_id"])
+    write_partitions(before, path, "snapshot_date", many_days=False)
+    states = spark.read.schema(before.schema).parquet(path)
+    changes = timeline.state_from_previous(states, log, "day", *STATE_DAYS)
+    state = timeline.daily_state(changes, ["user_id"], "day", *STATE_DAYS, newest=["ts", "event_id"])
+    return state.select(
+        "user_id", "snapshot_date", F.col("day").alias("changed_on"), "event_id", "event_type", "value"
+    )

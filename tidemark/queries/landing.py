@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.files import move_only_file, swap_folder
+from tidemark.operators.quality import DataTestFailure
 from tidemark.plans import daily
 from tidemark.queries import query
-from tidemark.queries.inputs import read
+from tidemark.queries.inputs import events, read
 from tidemark.schemas import partition_column, table_schema
 from tidemark.scratch import scratch_path
 from tidemark.sinks.warehouse import Warehouse
@@ -176,3 +177,55 @@ def due_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema(name) if f.name != column]
         store.replace_present(name, days.where(condition).select(*rest, day.alias(column)).distinct())
     return daily.due(store, dt.date(2024, 2, 10), lookback=20)
+
+
+@query("""
+    SELECT c_name AS "CID", CASE WHEN c_custkey % 3 = 0 THEN 'again' ELSE c_mktsegment END AS "CNTRY",
+           DATE '2024-01-01' + CAST(c_custkey % 3 AS INTEGER) AS snapshot_date
+    FROM customer
+""")
+def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by day, written anew: one day well, one with repeated keys, one without keys; the bad ones stay as they were."""
+    rows = read(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("CID"),
+        F.col("c_mktsegment").alias("CNTRY"),
+        F.lit(None).cast("timestamp").alias("dwh_create_date"),
+        F.date_add(F.lit(DAYS[0]), (F.col("c_custkey") % 3).cast("int")).alias("snapshot_date"),
+    )
+    store, name = _store(spark), "staging.stg_erp_LOC_A101"
+    daily.publish_tested(store, name, lambda: rows)
+    again = rows.withColumn("CNTRY", F.lit("again"))
+    days = [again.where(F.col("snapshot_date") == F.lit(day)) for day in DAYS]
+    days[1] = days[1].unionByName(days[1].where("CID LIKE '%7'"))
+    days[2] = days[2].withColumn("CID", F.when(~F.col("CID").endswith("7"), F.col("CID")))
+    failed = 0
+    for one_day in days:
+        try:
+            daily.publish_tested(store, name, lambda: one_day, many_days=False)
+        except DataTestFailure:
+            failed += 1
+    if failed != 2 and rows.where("CID LIKE '%7'").select("snapshot_date").distinct().count() == 3:
+        raise RuntimeError(f"{failed} days failed their tests")
+    return store.table(name).drop("dwh_create_date")
+
+
+@query("""
+    SELECT 'raw.loc_a101' AS table_name, day, COUNT(*) AS row_count,
+           COUNT(*) FILTER (WHERE event_type = 'error') AS null_countries
+    FROM (SELECT CAST(ts AS DATE) AS day, event_type FROM events)
+    WHERE day(day) % 5 > 0 OR event_type <> 'click' GROUP BY day
+""")
+def warehouse_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and NULLs of each day of the events, every fifth day written twice; from the version log."""
+    rows = events(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("CID"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("CNTRY"),
+        F.col("day").alias("snapshot_date"),
+    )
+    store = _store(spark)
+    store.replace_present("raw.loc_a101", rows)
+    fifth = rows.where((F.dayofmonth("snapshot_date") % 5 == 0) & ~F.col("CNTRY").eqNullSafe("click"))
+    store.replace_present("raw.loc_a101", fifth)
+    return store.statistics("raw.loc_a101").select(
+        "table_name", "day", "row_count", F.col("nulls")["CNTRY"].alias("null_countries")
+    )

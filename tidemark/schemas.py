@@ -113,16 +113,27 @@ ML_TABLES = {
     ),
 }
 
+# Full state of the two change logs on every day, kept so that a day is built from the day before.
+STATE_TABLES = {
+    "state.customers": (
+        "cst_id int, cst_key string, cst_firstname string, cst_lastname string, "
+        "cst_marital_status string, cst_gndr string, cst_create_date date, changed_on date, "
+        "snapshot_date date"
+    ),
+    "state.locations": "CID string, CNTRY string, changed_on date, snapshot_date date",
+}
+
 TABLES: dict[str, str] = {
     **RAW_TABLES,
     **SEED_TABLES,
     **STAGING_TABLES,
+    **STATE_TABLES,
     **MART_TABLES,
     **REPORTING_TABLES,
     **ML_TABLES,
 }
 
-LAYERS = ("raw", "seeds", "staging", "mart", "reporting", "ml_features")
+LAYERS = ("raw", "seeds", "staging", "state", "mart", "reporting", "ml_features")
 
 
 def table_schema(name: str) -> StructType:

@@ -7,9 +7,14 @@ Two write semantics, never mixed:
 * ``replace_present``: the partitions found in the given rows are replaced; no rows leave
   the table as it is.
 
-Both stage their files and swap whole partition directories on commit, so a lost executor
-or a failed job leaves the old partition readable. Cleared partitions and tables without
-partitions are likewise written beside the old files and then put in their place.
+A warehouse's tables are written in two steps. ``stage`` writes the rows to a folder of their own, which no
+reader knows. ``publish`` enters the new versions in a log and then points the catalog at them,
+one partition at a time: a reader sees the old rows or the new ones, and a crash in between
+leaves the old ones. What was staged can be tested before it is published. Replaced versions
+stay until ``vacuum``, so that running readers finish.
+
+The functions on paths, for tables outside a catalog, stage their files and swap whole
+partition directories on commit.
 """
 
 from __future__ import annotations
@@ -17,14 +22,16 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.files import make_folder, qualified, swap_folder
+from tidemark.files import delete_folder, exists, make_folder, qualified, swap_folder
 from tidemark.schemas import LAYERS, TABLES, partition_column, table_schema
+from tidemark.sinks.versions import Published, VersionLog, new_version
 from tidemark.sources.landing import require_partition
 
 
@@ -84,6 +91,33 @@ def replace_partition_at(df: DataFrame, path: str, day: str, value: dt.date) ->
     return rows
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Rows of one table that are written and not yet published; counts by partition."""
+
+    table: str
+    version: str
+    path: str
+    row_counts: Mapping[dt.date | None, int] = field(default_factory=dict)
+    nulls: Mapping[dt.date | None, Mapping[str, int]] = field(default_factory=dict)
+
+    @property
+    def rows(self) -> int:
+        return sum(self.row_counts.values())
+
+    @property
+    def days(self) -> tuple[dt.date, ...]:
+        return tuple(sorted(d for d in self.row_counts if d is not None))
+
+    def null_counts(self) -> dict[str, int]:
+        """NULLs by column, over all partitions."""
+        total: dict[str, int] = {}
+        for counts in self.nulls.values():
+            for column, n in counts.items():
+                total[column] = total.get(column, 0) + n
+        return total
+
+
 # Spark formats the dates of a description with a formatter that threads must not share.
 _describing = threading.Lock()
 
@@ -104,6 +138,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.prefix = prefix
         self._checked: set[str] = set()
+        self.log = VersionLog(spark, f"{self.root}/_versions")
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -122,8 +157,8 @@ class Warehouse:
             described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.registered(name)}").collect()
         places = [r["data_type"] for r in described if r["col_name"] == "Location"]
         if places:
-            found = qualified(self.spark, places[-1])
-            if found != qualified(self.spark, self.location(name)):
+            found, own = qualified(self.spark, places[-1]), qualified(self.spark, self.location(name))
+            if found != own and not found.startswith(f"{own}/"):
                 raise ForeignTable(f"{self.registered(name)} lies in {found}, not below {self.root}")
         self._checked.add(name)
         return True
@@ -131,21 +166,24 @@ class Warehouse:
     def create(self, *names: str) -> None:
         """Create databases and tables that are missing; existing files are picked up."""
         for layer in LAYERS:
+            # Dropping a database deletes its folder, so it gets one that holds no table.
             self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'"
+                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/_catalog/{layer}'"
             )
         for name in names or TABLES:
             if self._check(name):
                 continue
-            day = partition_column(name)
+            day, known = partition_column(name), self.log.of(name)
             partitioned = f"PARTITIONED BY ({day})" if day else ""
+            place = known[None].location if None in known else self.location(name)
             self.spark.sql(
-                f"CREATE TABLE {self.registered(name)} ({TABLES[name]}) USING parquet {partitioned} "
-                f"LOCATION '{self.location(name)}'"
+                f"CREATE TABLE {self.registered(name)} ({TABLES[name]}) USING parquet {partitioned} LOCATION '{place}'"
             )
-            if day:
+            if day and not exists(self.spark, self.location(name)):
                 make_folder(self.spark, self.location(name))
-                self.spark.catalog.recoverPartitions(self.registered(name))
+            elif day:
+                self.spark.catalog.recoverPartitions(self.registered(name))  # of tables written by others
+                self._point(name, known.values())
 
     def forget(self) -> None:
         """Take this root's tables, and databases that are then empty, from the catalog; files stay."""
@@ -155,7 +193,9 @@ class Warehouse:
         self._checked.clear()
         for layer in LAYERS:
             database = f"{self.prefix}{layer}"
-            if self.spark.catalog.databaseExists(database) and not self.spark.catalog.listTables(database):
+            if not self.spark.catalog.databaseExists(database) or self.spark.catalog.listTables(database):
+                continue
+            if "/_catalog/" in self.spark.catalog.getDatabase(database).locationUri:
                 self.spark.sql(f"DROP DATABASE {database}")
 
     def table(self, name: str) -> DataFrame:
@@ -186,30 +226,123 @@ class Warehouse:
         """Columns by name, in table order and type."""
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema(name)])
 
-    def _register(self, name: str, days: tuple[dt.date, ...]) -> None:
-        if days:
-            column = partition_column(name)
-            specs = " ".join(f"PARTITION ({column}=DATE'{d.isoformat()}')" for d in days)
-            self.spark.sql(f"ALTER TABLE {self.registered(name)} ADD IF NOT EXISTS {specs}")
-        self.spark.catalog.refreshTable(self.registered(name))
+    def stage(self, name: str, df: DataFrame, value: dt.date | None = None, many_days: bool = True) -> Staged:
+        """Write rows of a table to a new folder; with ``value`` all must be of that partition.
 
-    def replace_partition(self, name: str, df: DataFrame, value: dt.date) -> LoadStats:
+        Rows and NULLs are counted on the way to the files; by partition, where there are
+        several, in one scan of what was written.
+        """
         self.create(name)
-        day = partition_column(name)
-        rows = replace_partition_at(self._arranged(name, df), self.location(name), day, value)
-        self._register(name, (value,))
-        return LoadStats(name, rows, (value,))
+        day, version, rows = partition_column(name), new_version(), self._arranged(name, df)
+        path = f"{self.location(name)}/_versions/{version}"
+        if value is not None:
+            rows, many_days = require_partition(rows, day, F.lit(value)), False
+        written, columns = Observation(), rows.columns
+        counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
+        if day:
+            counts.append(F.collect_set(day).alias("days"))  # one entry per partition at most
+        placed = rows.hint("rebalance", day) if day and many_days else rows
+        writer = placed.observe(written, *counts).write
+        (writer.partitionBy(day) if day else writer).parquet(path)
+        found = written.get
+        whole = {c: found[f"n{i}"] for i, c in enumerate(columns)}
+        days = sorted(found["days"]) if day else [None]
+        if value is not None and not days:
+            self.spark.createDataFrame([], table_schema(name)).drop(day).write.parquet(f"{path}/{day}={value.isoformat()}")
+            days = [value]
+        if len(days) == 1:
+            return Staged(name, version, path, {days[0]: found["rows"]}, {days[0]: whole})
+        staged = Staged(name, version, path)
+        if not days:
+            return staged
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns) if c != day]
+        by_day = self.staged_rows(staged).groupBy(day).agg(F.count(F.lit(1)).alias("rows"), *nulls).collect()
+        kept = [c for c in columns if c != day]
+        at = [i for i, c in enumerate(columns) if c != day]
+        return Staged(
+            name,
+            version,
+            path,
+            {r[day]: r["rows"] for r in by_day},
+            {r[day]: {c: r[f"n{i}"] for c, i in zip(kept, at)} | {day: r["rows"] if r[day] is None else 0} for r in by_day},
+        )
+
+    def staged_rows(self, staged: Staged) -> DataFrame:
+        """What was staged, as rows of the table."""
+        return self.spark.read.schema(table_schema(staged.table)).parquet(staged.path)
+
+    def discard(self, staged: Staged) -> None:
+        delete_folder(self.spark, staged.path)
+
+    def publish(self, staged: Staged, inputs: Callable[[dt.date | None], Mapping[str, str]] | None = None) -> LoadStats:
+        """Point the table at what was staged. ``inputs`` names the versions that a partition was made from."""
+        day = partition_column(staged.table)
+        days = staged.days if day else (None,)
+        published = [
+            Published(
+                staged.table,
+                d,
+                staged.version,
+                f"{staged.path}/{day}={d.isoformat()}" if day else staged.path,
+                staged.row_counts[d],
+                dict(staged.nulls[d]),
+                dict(inputs(d)) if inputs else {},
+            )
+            for d in days
+        ]
+        self.log.append(published)
+        self._point(staged.table, published)
+        return LoadStats(staged.table, staged.rows, staged.days)
+
+    def _point(self, name: str, published) -> None:
+        """Make the catalog show these versions."""
+        if not published:
+            return
+        table, column = self.registered(name), partition_column(name)
+        spec = {p.day: f"PARTITION ({column}=DATE'{p.day.isoformat()}')" for p in published if p.day}
+        places = {p.day: qualified(self.spark, p.location) for p in published}
+        if None in places:
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{places[None]}'")
+        if spec:
+            had = {r["day"] for r in self.inventory(name).collect()}
+            new = [d for d in spec if d not in had]
+            if new:
+                added = " ".join(f"{spec[d]} LOCATION '{places[d]}'" for d in new)
+                self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+            for d in spec.keys() - set(new):
+                self.spark.sql(f"ALTER TABLE {table} {spec[d]} SET LOCATION '{places[d]}'")
+        self.spark.catalog.refreshTable(table)
+
+    def settle(self, *names: str) -> None:
+        """Point the tables at their newest published versions, where a crash kept a publish from it."""
+        self.log.reload()
+        for name in names or TABLES:
+            self.create(name)
+            if self.log.of(name):
+                self._point(name, self.log.of(name).values())
+
+    def vacuum(self, older_than: dt.timedelta = dt.timedelta(days=1)) -> int:
+        """Delete the files of versions that were replaced before ``older_than``; returns how many."""
+        log = self.log.rows().select("table_name", "day", "version", "location", "published_at")
+        of_partition = Window.partitionBy("table_name", "day").orderBy("version")
+        old = log.withColumn("replaced_at", F.lead("published_at").over(of_partition)).where("replaced_at IS NOT NULL")
+        limit = F.current_timestamp() - F.expr(f"INTERVAL {int(older_than.total_seconds())} SECONDS")
+        gone = old.where(F.col("replaced_at") <= limit).select("location").distinct().collect()
+        for row in gone:
+            delete_folder(self.spark, row["location"])
+        return len(gone)
+
+    def statistics(self, *names: str) -> DataFrame:
+        """``table_name, day, row_count, nulls, published_at`` of the published partitions; no data file is opened."""
+        found = self.log.newest().where("day IS NOT NULL").select("table_name", "day", "row_count", "nulls", "published_at")
+        return found.where(F.col("table_name").isin(*names)) if names else found
+
+    def replace_partition(self, name: str, df: DataFrame, value: dt.date) -> LoadStats:
+        return self.publish(self.stage(name, df, value))
 
     def replace_present(self, name: str, df: DataFrame, many_days: bool = True) -> LoadStats:
-        self.create(name)
-        rows, days = write_partitions(
-            self._arranged(name, df), self.location(name), partition_column(name), many_days
-        )
-        self._register(name, days)
-        return LoadStats(name, rows, days)
+        return self.publish(self.stage(name, df, many_days=many_days))
 
     def replace_static(self, name: str, df: DataFrame) -> None:
         """Load a table without partitions."""
-        self.create(name)
-        write_beside(self._arranged(name, df), self.location(name), self.location(name))
-        self.spark.catalog.refreshTable(self.registered(name))
+        self.publish(self.stage(name, df))
