@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from tests.conftest import tuples
+from tidemark.llm import near_dup
 from tidemark.llm.components import components
 from tidemark.llm.near_dup import (
     SAMPLES,
@@ -20,6 +21,7 @@ from tidemark.llm.near_dup import (
     odd_sketches,
     shingle_sets,
 )
+from tidemark.scratch import materialize
 from tidemark.llm.words import slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +92,51 @@ def test_a_chain_and_a_large_group(spark, frame):
     assert tuples(near_duplicates(frame(docs, "doc_id long, text string"))) == key(brute(docs, 5))
 
 
+@pytest.mark.parametrize("large", [2, 10**9])
+def test_large_and_small_buckets_have_one_result(spark, frame, large, monkeypatch):
+    monkeypatch.setattr(near_dup, "LARGE_BUCKET", large)
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 25)
+    draw = random.Random(8)
+    base = [f"g{i}" for i in range(90)]
+    docs = [" ".join(edited(draw, base, draw.randrange(9))) for _ in range(120)]
+    for _ in range(3):  # far from the rest, near each other
+        far = edited(draw, base, 12)
+        docs += [" ".join(edited(draw, far, draw.randrange(3))) for _ in range(5)]
+    docs = list(enumerate(docs)) + [(7, docs[3]), (500, docs[5]), (500, docs[5]), (500, "quite other words stand in here")]
+    found = near_duplicates(frame(docs, "doc_id long, text string"))
+    assert tuples(found) == key(brute(docs, 5))
+
+
+def test_a_group_below_the_threshold_sends_no_pairs(spark, frame, monkeypatch):
+    """Texts of one origin, each too far from most others: rows grow with the texts, not with their pairs."""
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 64)
+    made, links = {}, near_dup.large_bucket_links
+
+    def counted(parts, heads, docs, size, percent):
+        found = materialize(links(parts, heads, docs, size, percent), "found")
+        made[n] = parts.count(), found.count()
+        return found
+
+    monkeypatch.setattr(near_dup, "large_bucket_links", counted)
+    for n in (200, 400):
+        draw = random.Random(n)
+        base = [f"g{i}" for i in range(100)]
+        docs = [(i, " ".join(edited(draw, base, 5))) for i in range(n)]
+        assert tuples(near_duplicates(frame(docs, "doc_id long, text string"))) == key(brute(docs, 5))
+    # A member stands in at most 32 buckets, and a task gives each member at most one link.
+    for n, (asked, found) in made.items():
+        assert n < asked <= 32 * n and found <= asked
+
+
+def test_overlaps():
+    draw = np.random.default_rng(3)
+    sets = [[np.unique(draw.integers(0, 300, draw.integers(0, 200)).astype(np.uint64)) for _ in range(n)] for n in (90, 70)]
+    sets[0] += [np.array([2**64 - 1, 5], np.uint64)] * 3
+    found = near_dup.overlaps(*sets)
+    assert found.tolist() == [[len(np.intersect1d(a, b)) for b in sets[1]] for a in sets[0]]
+    assert near_dup.overlaps([], sets[1]).shape == (0, 70) and near_dup.overlaps([sets[0][0]], [np.zeros(0, np.uint64)]).tolist() == [[0]]
+
+
 def test_edge_rows(spark, frame):
     long_text = " ".join(f"t{i % 7919}" for i in range(200_000))
     docs = [

@@ -6,11 +6,15 @@ sketch, a bitmap that each sample flips a bit of: the bits in which two sketches
 many samples differ, most precisely for similar texts. In every bucket all members are held
 against one of them, the one that a hash of bucket and member puts first; pairs whose sketches
 differ too much go, the others are confirmed on their full sets. Linked classes become
-components. Buckets that then still hold several components are searched pair by pair, where
-only pairs that sizes and sketches pass leave the join. So a group of copies of any size costs a few
-pairs per member, and every pair that shares a bucket is either confirmed, or refuted, or in one
-component already. In large buckets most pairs are refuted without looking at their sets: by the number
-of shingles that no other member has, and by wider sketches.
+components. So a group of copies of any size costs a few pairs per member.
+
+Buckets that then still hold several components are searched again. In small ones the pairs that sizes
+and sketches pass are confirmed one by one. Large ones are dealt over blocks of members: a task
+gets two blocks with their sets, compares those pairs that no bucket before has, that lie in
+different components and that sizes and sketches pass, and gives a spanning forest of the links it
+finds. So no pair leaves a task; what grows with the square of a group of texts just below the
+threshold is arithmetic on blocks, not rows. Every pair that shares a bucket is either
+confirmed, or refuted, or in one component already.
 
 Two texts at the threshold share no bucket with probability (1 - 0.8**4)**32, 5 in 100 million,
 and their sketches differ too much (five standard deviations) with 3 in 10 million.
@@ -28,7 +32,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shipping import ship
-from tidemark.llm.words import LOWER, SAME, Texts, hashed_words, mix, signed, slices, stream, window_hashes
+from tidemark.llm.vector_dup import forest
+from tidemark.llm.words import LOWER, Texts, gather, hashed_words, mix, signed, slices, stream, window_hashes
 from tidemark.scratch import materialize
 
 SHINGLE_WORDS = 5
@@ -37,14 +42,14 @@ BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 256
 LEAST_ESTIMATE = 0.55  # of the sketches, for a threshold of 0.8
-LARGE_BUCKET = 32  # members of larger buckets are told apart by own shingles and wide sketches
-WIDE_SAMPLES, WIDE_BITS = 4096, 8192
-LEAST_WIDE_ESTIMATE = 0.766  # of the wide sketches, for a threshold of 0.8
+LARGE_BUCKET = 32  # larger buckets are compared in blocks, with the same result
+BLOCK_ROWS, BLOCK_BYTES = 1024, 8 << 20  # members, and bytes of their sets, in a block
+COMMON_PAIRS = 4096  # pairs of rows with a shingle from which on a matrix product counts it
 BROADCAST_IDS = 1_000_000
 CACHED_SHINGLES = 4_000_000
 
-_MULTIPLIERS = (stream(31, WIDE_SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_SHIFTS = (stream(32, WIDE_SAMPLES) >> np.uint64(32)).astype(np.uint32)
+_MULTIPLIERS = (stream(31, SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_SHIFTS = (stream(32, SAMPLES) >> np.uint64(32)).astype(np.uint32)
 
 SKETCHED = "doc_id long, n_shingles long, one long, two long, bands array<long>, sketch array<long>"
 
@@ -197,50 +202,146 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return both.select("a", "b", "left_text", "right_text").mapInArrow(run, "a long, b long").distinct()
 
 
-def own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """``rep`` and ``own``: how many shingles of each document no other one of ``texts`` has."""
+def full_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``rep`` and ``members``, the sorted hashes of its shingles as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column("text")):
                 hashes, bounds = shingle_sets(part, size)
-                of = np.repeat(np.arange(len(part)), np.diff(bounds))
-                ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(of))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(signed(hashes))], names=["doc_id", "shingle"])
+                offsets = pa.py_buffer((bounds * 8).astype(np.int32))
+                sets = pa.Array.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(hashes)])
+                ids = batch.column("doc_id").slice(part.first, len(part))
+                yield pa.RecordBatch.from_arrays([ids, sets], names=["rep", "members"])
 
-    found = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
-    counts = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"))
-    return counts.where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, members binary")
 
 
-def wide_sketches(texts: DataFrame, size: int) -> DataFrame:
-    """``rep``, ``n_shingles`` and ``wide``, a sketch of more samples in more bits."""
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``one`` shares with each of ``two``; values of a set differ.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                hashes, bounds = shingle_sets(part, size)
-                full = np.flatnonzero(np.diff(bounds))
-                if not len(full):
-                    continue
-                sketch = odd_sketches(min_hashes(hashes, bounds[:-1][full], WIDE_SAMPLES), WIDE_BITS)
-                ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(full))
-                counts = pa.array(np.diff(bounds)[full].astype(np.int64))
-                columns = [ids, counts, _lists(sketch, np.arange(len(full)), len(full))]
-                yield pa.RecordBatch.from_arrays(columns, names=["rep", "n_shingles", "wide"])
+    Values that few pairs share are counted pair by pair, others by products of 0-1 matrices.
+    """
+    out = np.zeros(len(one) * len(two), np.int64)
+    sides = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (one, two)]
+    _, numbers = np.unique(np.concatenate(sides), return_inverse=True)
+    codes = np.split(numbers.reshape(-1), [len(sides[0])])
+    rows = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (one, two)]
+    n = int(numbers.max()) + 1 if len(numbers) else 0
+    counts = [np.bincount(c, minlength=n) for c in codes]
+    pairs = counts[0] * counts[1]
+    common = np.flatnonzero(pairs >= COMMON_PAIRS)
+    for low in range(0, len(common), 2048):
+        place = np.full(n, -1)
+        place[common[low : low + 2048]] = np.arange(len(common[low : low + 2048]))
+        flags = []
+        for code, row, x in zip(codes, rows, (one, two)):
+            at = place[code]
+            flag = np.zeros((len(x), min(2048, len(common) - low)), np.float32)
+            flag[row[at >= 0], at[at >= 0]] = 1
+            flags.append(flag)
+        out += (flags[0] @ flags[1].T).astype(np.int64).reshape(-1)
+    rare = (pairs > 0) & (pairs < COMMON_PAIRS)
+    order = np.argsort(codes[0], kind="stable")
+    begins = np.cumsum(counts[0]) - counts[0]
+    right = np.flatnonzero(rare[codes[1]])
+    ends = np.cumsum(counts[0][codes[1][right]])
+    low = 0
+    while low < len(right):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (4 << 20), "right")))
+        some = right[low:high]
+        lengths = counts[0][codes[1][some]]
+        left = rows[0][order[gather(begins[codes[1][some]], lengths)]]
+        out += np.bincount(left * len(two) + np.repeat(rows[1][some], lengths), minlength=len(out))
+        low = high
+    return out.reshape(len(one), len(two))
+
+
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest of the links between two blocks of a bucket, or within one."""
+    table = table.combine_chunks()
+    alone = table["one"][0].as_py() == table["two"][0].as_py()
+    left = np.ones(table.num_rows, bool) if alone else np.asarray(table["is_left"])
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if not left.any() or (not alone and left.all()):
+        return empty
+
+    def lists(name: str) -> np.ndarray:
+        column = table[name].combine_chunks() if isinstance(table[name], pa.ChunkedArray) else table[name]
+        return np.asarray(column.flatten()).reshape(table.num_rows, -1)
+
+    ids, part, n = (np.asarray(table[c]) for c in ("rep", "part", "n_shingles"))
+    bands, sketch = lists("bands"), lists("sketch").view(np.uint64)
+    sides = (left, left) if alone else (left, ~left)
+    a, b = (np.flatnonzero(x) for x in sides)
+    if alone:
+        asked = np.triu(np.ones((len(a), len(b)), bool), 1)
+    else:
+        asked = np.ones((len(a), len(b)), bool)
+    asked &= part[a][:, None] != part[b]
+    asked &= np.minimum(n[a][:, None], n[b]) * 100 >= np.maximum(n[a][:, None], n[b]) * percent
+    band = int(np.flatnonzero(bands[0] == table["bucket"][0].as_py())[0])
+    for before in range(band):  # the first bucket that a pair shares is the one that counts
+        asked &= bands[a, before][:, None] != bands[b, before]
+    differing = np.zeros((len(a), len(b)), np.int64)
+    for word in range(sketch.shape[1]):
+        differing += np.bitwise_count(sketch[a, word][:, None] ^ sketch[b, word])
+    asked &= differing <= _most_differing(percent)
+    rows, columns = np.flatnonzero(asked.any(axis=1)), np.flatnonzero(asked.any(axis=0))
+    if not len(rows):
+        return empty
+    members = table["members"]
+    sets = [[np.frombuffer(members[int(i)].as_buffer(), np.uint64) for i in x] for x in (a[rows], b[columns])]
+    shared = overlaps(*sets)
+    union = n[a[rows]][:, None] + n[b[columns]] - shared
+    linked = (100 * shared >= percent * union) & asked[np.ix_(rows, columns)]
+    of_rows, of_columns = forest(linked)
+    found, n_parts = np.concatenate([ids[a[rows]], ids[b[columns]]]), np.concatenate([of_rows, of_columns])
+    roots = np.zeros(int(n_parts.max()) + 1, np.int64)
+    roots[n_parts[n_parts >= 0][::-1]] = found[n_parts >= 0][::-1]
+    kept = np.flatnonzero(n_parts >= 0)
+    ends = roots[n_parts[kept]]
+    differ = found[kept] != ends
+    return pa.table({"a": pa.array(found[kept][differ]), "b": pa.array(ends[differ])})
+
+
+def large_bucket_links(parts: DataFrame, heads: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members (``rep``, ``part``) of large buckets: no pair, but a spanning forest per task."""
+    ids = materialize(parts.select(F.col("rep").alias("doc_id")).distinct(), "large-bucket-ids")
+    texts = materialize(texts_of(docs, ids), "large-bucket-texts")
+    told = heads.select("rep", "n_shingles", "sketch", "bands").join(full_sets(texts, size).distinct(), "rep")
+    # A document id may stand on several texts; the class has the set of the size that it names.
+    told = told.where(F.length("members") == 8 * F.col("n_shingles"))
+    told = materialize(told, "large-bucket-sets")
+    members = parts.select("bucket", "rep", "part").join(told, "rep")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum(F.length("members")) / BLOCK_BYTES))
+    counts = materialize(members.groupBy("bucket").agg(blocks.alias("n_blocks")), "bucket-blocks")
+    dealt = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("bucket", "rep"), F.col("n_blocks")))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    dealt = dealt.select(
+        "bucket",
+        F.least("block", "with").alias("one"),
+        F.greatest("block", "with").alias("two"),
+        (F.col("block") <= F.col("with")).alias("is_left"),
+        *("rep", "part", "n_shingles", "bands", "sketch", "members"),
+    )
+
+    def solve(table: pa.Table) -> pa.Table:
+        return _block_links(table, percent)
 
-    return texts.select("doc_id", "text").mapInArrow(run, "rep long, n_shingles long, wide array<long>")
+    return dealt.groupBy("bucket", "one", "two").applyInArrow(solve, "a long, b long").distinct()
 
 
-def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Sketched rows with their class (``rep``), and the component of each class that has links."""
+def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketched rows; those with words and their class (``rep``); the component of each class that has links."""
     rows = docs.where("doc_id IS NOT NULL")
     found = materialize(sketches(docs, size), "sketches")
     named = found.where("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["n_shingles", "one", "two"]
-    classes = named.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    members = materialize(named.select("doc_id", *same).join(classes, same), "classes")
-    heads = named.join(classes, same).where("doc_id = rep").dropDuplicates([*same])
+    # Written, so that the join of a class with very many copies can be split.
+    classes = materialize(named.groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
+    members = materialize(named.select("doc_id", *same).join(classes, same), "members")
+    heads = named.withColumnRenamed("doc_id", "rep").join(classes, [*same, "rep"]).dropDuplicates([*same])
     heads = materialize(heads.select("rep", "n_shingles", "bands", "sketch"), "class-heads")
     # A document id that stands on several texts links their classes.
     several = members.select("doc_id", "rep").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -263,46 +364,29 @@ def link_classes(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERC
     mixed = parts.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     parts = materialize(parts.where("rep <> hub").join(mixed.select("bucket"), "bucket"), "mixed-buckets")
     if parts.isEmpty():
-        return found, linked
+        return found, members, linked
     large = F.col("n") > LARGE_BUCKET
-    ids = materialize(parts.where(large).select(F.col("rep").alias("doc_id")).distinct(), "large-bucket-ids")
-    texts = materialize(texts_of(rows, ids), "large-bucket-texts")
-    told = heads.select("rep", "n_shingles", "sketch", "bands").join(wide_sketches(texts, size), ["rep", "n_shingles"], "left")
-    told = materialize(told.join(own_shingles(texts, size), "rep", "left"), "told-apart")
-    parts = parts.join(told, "rep").select(
-        "bucket",
-        "rep",
-        "part",
-        "n_shingles",
-        "sketch",
-        F.when(large, F.col("wide")).alias("wide"),
-        F.when(large, F.col("bands")).alias("bands"),
-        F.when(large, F.col("n_shingles") - F.coalesce("own", F.lit(0))).otherwise(F.col("n_shingles")).alias("most"),
-    )
-    parts = materialize(parts, "mixed-members")
-    names = {"rep": "", "part": "p_", "n_shingles": "n_", "sketch": "s_", "most": "m_", "wide": "w_", "bands": "k_"}
-    one = parts.select("bucket", *(F.col(x).alias(f"{y}a") for x, y in names.items()))
-    other = parts.select("bucket", *(F.col(x).alias(f"{y}b") for x, y in names.items()))
+    in_blocks = large_bucket_links(parts.where(large), heads, rows, size, percent)
+    small = materialize(parts.where(~large).join(heads.drop("bands"), "rep"), "mixed-members")
+    names = {"rep": "", "part": "p_", "n_shingles": "n_", "sketch": "s_"}
+    one = small.select("bucket", *(F.col(x).alias(f"{y}a") for x, y in names.items()))
+    other = small.select("bucket", *(F.col(x).alias(f"{y}b") for x, y in names.items()))
     apart = (F.col("a") < F.col("b")) & (F.col("p_a") != F.col("p_b"))
-    # A pair shares at most what its poorer member shares with the whole bucket.
-    enough = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    most = most_differing_bits(max(0.0, percent / 100 - (0.8 - LEAST_WIDE_ESTIMATE)), WIDE_SAMPLES, WIDE_BITS)
-    bits = F.zip_with("w_a", "w_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    wide = F.coalesce(F.aggregate(bits, F.lit(0), lambda total, n: total + n) <= most, F.lit(True))
-    # Of the buckets that a pair shares, the first counts.
-    shared_keys = F.filter(F.zip_with("k_a", "k_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    first = F.coalesce(F.get(shared_keys, F.lit(0)) == one["bucket"], F.lit(True))
-    again = one.join(other, (one["bucket"] == other["bucket"]) & apart & enough & near & wide & first)
-    more = confirmed(again.select("a", "b").distinct(), rows, size, percent)
+    again = one.join(other, (one["bucket"] == other["bucket"]) & apart & near)
+    more = confirmed(again.select("a", "b").distinct(), rows, size, percent).unionByName(in_blocks)
     links = materialize(links.unionByName(more), "confirmed")
-    return found, components(links)
+    return found, members, materialize(components(links), "components")
+
+
+def _most_differing(percent: int) -> int:
+    """Bits in which the sketches of a pair at the threshold differ at most, but for five deviations."""
+    return most_differing_bits(max(0.0, percent / 100 - (0.8 - LEAST_ESTIMATE)))
 
 
 def _alike(percent: int) -> Column:
     """Sizes that allow the threshold, and sketches that do not speak against it."""
     sizes = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    most = most_differing_bits(max(0.0, percent / 100 - (0.8 - LEAST_ESTIMATE)))
-    return sizes & (differing_bits("s_a", "s_b") <= most)
+    return sizes & (differing_bits("s_a", "s_b") <= _most_differing(percent))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -316,12 +400,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     linked. Texts of any length: whole. No rows: no rows. Other columns: ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found, linked = link_classes(rows, size, percent)
-    same = ["n_shingles", "one", "two"]
-    full = found.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = full.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    classes = classes.join(linked, F.col("rep") == F.col("node"), "left")
-    classes = classes.select(*same, F.coalesce("component", "rep").alias("component_id"))
-    told = full.select("doc_id", *same).join(classes, same).select("doc_id", "n_shingles", "component_id")
+    found, members, linked = link_classes(rows, size, percent)
+    told = members.join(linked, members["rep"] == linked["node"], "left")
+    told = told.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     rest = found.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return told.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
