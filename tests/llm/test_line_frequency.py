@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 import pytest
 
-from tidemark.llm.line_frequency import clean_lines, judge_lines, measure
+from tidemark.llm.line_frequency import clean_lines, clean_lines, judge_lines, measure
 from tidemark.llm.words import hashed_words, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,3 +102,15 @@ def test_verdicts(spark, frame):
 
 def test_no_rows(spark, frame):
     assert judge_lines(frame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_clean_lines_by_host(spark, frame):
+    """The same document under two hosts: only the host whose limit names the line loses it."""
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(60))
+    rows = [(i, f"shared line here\n{own(i)}", "one") for i in range(25)]
+    rows += [(3, f"shared line here\n{own(3)}", "two"), (None, f"shared line here\n{own(99)}", None), (50, None, "one")]
+    df = frame([(*r, "mine", 5) for r in rows], "doc_id long, text string, source string, n_lines string, host int")
+    found = {(r["doc_id"], r["source"]): (r["text"], r["n_removed"]) for r in clean_lines(df).collect()}
+    assert len(found) == 27 and (50, "one") not in found
+    assert found[3, "one"] == (own(3), 1) and found[3, "two"] == (f"shared line here\n{own(3)}", 0)
+    assert found[None, None][1] == 0

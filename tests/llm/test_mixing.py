@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import pytest
 
-from tidemark.llm.mixing import mix, source_targets, sizes, taken_words
+from tidemark.llm.mixing import mix, mixed_documents, source_targets, sizes, taken_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -110,3 +110,32 @@ def test_targets_of_equal_sources(spark, frame):
     df = frame([(i, "a b c d", s) for i, s in enumerate("abcdef")], "doc_id long, text string, source string")
     targets = {r["source"]: r["target"] for r in source_targets(sizes(df, 1)).collect()}
     assert targets == pytest.approx(brute_targets(dict.fromkeys("abcdef", 4)))
+
+
+def test_rows_that_differ_in_another_column_stay_apart(spark, frame):
+    rows = [(1, "a b c", "s", "en", {"k": 1}), (1, "a b c", "s", "fr", {"k": 1}), (1, "a b c", "s", "fr", {"k": 2})]
+    rows += [(1, "a b c", "s", "fr", {"k": 2}), (None, "a b c", "s", None, None)]
+    df = frame(rows, "doc_id long, text string, source string, lang string, more map<string, int>")
+    found = [(r["lang"], (r["more"] or {}).get("k")) for r in mixed_documents(df, share=1.0).collect()]
+    assert sorted(found, key=str) == sorted([("en", 1), ("fr", 1), ("fr", 2), ("fr", 2), (None, None)], key=str)
+
+
+def test_the_schedule_orders_the_mix(spark, frame):
+    """Every quarter of the mix has the sources in proportion, in the query's slots and in the mixed rows."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(["w"] * draw.randrange(60, 140)), draw.choice("aabbc")) for i in range(900)]
+    df = frame(rows, "doc_id long, text string, source string")
+    source_of = {i: s for i, _, s in rows}
+    first_pass = sorted((r["slot"], source_of[r["doc_id"]], r["size"]) for r in taken_words(mix(df, block=64)).collect() if r["passes"])
+    mixed = [(r["source"], len(r["text"].split())) for r in mixed_documents(df, block=64).collect()]
+    assert len(first_pass) > 500 and sum(n for _, n in mixed) == round(1.5 * sum(len(t.split()) for _, t, _ in rows))
+    for n_parts, words in ((1, [(s, n) for _, s, n in first_pass if s == "a"]), (4, mixed)):
+        shares = []
+        for part in range(n_parts):
+            some = words[len(words) * part // n_parts : len(words) * (part + 1) // n_parts]
+            total = sum(n for _, n in some)
+            shares.append({s: sum(n for x, n in some if x == s) / total for s in "abc"})
+        if n_parts > 1:
+            assert all(max(x[s] for x in shares) - min(x[s] for x in shares) < 0.12 for s in "abc")
+    slots = {s: [i for i, (_, x, _) in enumerate(first_pass) if x == s] for s in "abc"}
+    assert all(min(x) < len(first_pass) * 0.1 for x in slots.values()), "no source waits for another"

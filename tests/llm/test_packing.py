@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.packing import RoomTree, best_fit_decreasing, pack
 from tidemark.llm.queries import op1_packing
+from tidemark.llm.token_ids import Encoder
+from tidemark.llm.words import Texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,3 +101,14 @@ def test_takes_the_tightest_window(seed):
 
 def test_room_tree_finds_nothing_in_an_empty_tree():
     assert RoomTree(7).tightest(1) == -1
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_other_tokenizer_files(name):
+    """Files that tell cases apart get the ids of whole texts, as all do."""
+    texts = ["Hello World, it's ÜBER", "", "x  Y\n\nZ", "<|end|> A", " lead", "CamelCase 12", "日本語"]
+    coder = Encoder(public_tokenizers.path(name))
+    raw = [t.encode() for t in texts]
+    ids, bounds = coder.encode(Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0))
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]

@@ -99,13 +99,16 @@ def test_run_is_registered(spark, stages):
 
 
 def test_stages_take_odd_rows(spark, frame, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, one int, doc string, gone int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, one int, doc string, gone int, n_lines string, n_removed string"
     odd = [
         (None, None, None, None, None, 1, "x", 2), (1, "", "en", "s", 0, 1, "x", 2), (2, "a b c d e f g\n" * 4, None, None, 9, 1, "x", 2),
         (2, "a b c d e f g\n" * 4, None, None, 9, 1, "x", 2), (3, "h i j k l m", "en", "s", None, 1, "x", 2),
         (4, "word " * 30000, "en", "t", None, 1, "x", 2),
     ]
     frame([(1, 1), (4, 1), (3, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    odd = [(*row, f"lines{i}", "kept") for i, row in enumerate(odd)]
+    lines = corpus_pipeline.drop_repeated_lines(spark, frame(odd, schema), "")
+    assert {(r["n_lines"], r["n_removed"]) for r in lines.collect()} <= {(row[-2], "kept") for row in odd}
     for docs in (frame(odd, schema), frame([], schema)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, str(tmp_path))

@@ -12,7 +12,7 @@ shuffle, and only windows found twice are joined back, which splits frequent one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.scratch import materialize
@@ -51,19 +51,20 @@ def repeated_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     start = (id_part * F.lit(str(1 << 31)).cast("decimal(11,0)") + F.element_at("at", 1)).cast("decimal(38,0)")
     windows = windows.withColumn("start", start)
     firsts = windows.groupBy("one", "two").agg(F.min("start").alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = firsts.where("n > 1").drop("n")
+    # Written, so that the join has two plain shuffles and a frequent window can be split.
+    firsts = materialize(firsts.where("n > 1").drop("n"), "repeated-windows")
     later = windows.join(firsts, ["one", "two"]).where("start > first")
     covered = later.select("doc_id", "text_mark", F.explode("at").alias("at"))
     return covered.groupBy("doc_id", "text_mark").agg(F.collect_set("at").alias("gone"))
 
 
-def drop_lines(docs: DataFrame, gone: DataFrame, how: str = "left") -> DataFrame:
+def drop_lines(docs: DataFrame, gone: DataFrame, how: str = "left", mark: Column | None = None) -> DataFrame:
     """``docs`` without the lines at the places ``gone`` of each ``doc_id`` and ``text_mark``.
 
-    Adds ``n_lines`` and ``n_removed``; columns of these names are replaced.
+    ``mark`` is what ``text_mark`` is compared with, by default a hash of the text. Adds ``n_lines`` and ``n_removed``; columns of these names are replaced.
     """
     rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    whole = rows.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("mark"))
+    whole = rows.select(F.struct("*").alias("doc"), (F.xxhash64("text") if mark is None else mark).alias("mark"))
     same = whole["doc.doc_id"].eqNullSafe(gone["doc_id"]) & (whole["mark"] == gone["text_mark"])
     joined = whole.join(gone, same, how).select("doc", "gone")
     lines = F.split("doc.text", "\n", -1)

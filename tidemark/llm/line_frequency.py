@@ -141,11 +141,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * of > F.col("n_words") * most)
 
 
+def host_hash() -> Column:
+    return F.xxhash64(F.col("source").cast("string"), F.col("source").isNull())
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.col("source").cast("string"), F.col("source").isNull()).alias("host"),
+        host_hash().alias("host"),
         F.monotonically_increasing_id().alias("row_no"),
         F.xxhash64(text).alias("text_mark"),
         text.alias("text"),
@@ -189,12 +193,19 @@ def judge_lines(
     gone = F.coalesce("n_removed_words", F.lit(0).cast("long"))
     kept = ~F.col("base_failed") & (gone <= F.lit(most_removed) * F.col("n_words"))
     return joined.select(
-        "doc_id", *MEASURES, "base_failed", gone.alias("n_removed_words"), kept.alias("kept"), "text_mark", "gone"
+        "doc_id", *MEASURES, "base_failed", gone.alias("n_removed_words"), kept.alias("kept"), "host", "text_mark", "gone"
     )
 
 
 def clean_lines(docs: DataFrame, **limits: float) -> DataFrame:
-    """The kept documents of ``judge_lines`` without their boilerplate lines; adds ``n_lines``, ``n_removed``."""
+    """The kept documents of ``judge_lines`` without their boilerplate lines; adds ``n_lines``, ``n_removed``.
+
+    Columns of these names are replaced, others kept as they are. Rows that agree in id, source and text have
+    one verdict and each stays; with another source they have their own. Null text: has no words and goes.
+    Null ``source``: a host; null ``doc_id``: rows with it are told apart by host and text. No rows: no rows.
+    """
     judged = judge_lines(docs, **limits)
-    gone = judged.groupBy("doc_id", "text_mark").agg(F.first("gone", True).alias("gone"), F.max("kept").alias("kept"))
-    return drop_lines(docs, materialize(gone.where("kept"), "line-verdicts"), "inner")
+    of_host = F.xxhash64("text_mark", "host").alias("text_mark")
+    gone = judged.groupBy("doc_id", of_host).agg(F.first("gone", True).alias("gone"), F.max("kept").alias("kept"))
+    mark = F.xxhash64(F.xxhash64(F.col("text").cast("string")), host_hash())
+    return drop_lines(docs, materialize(gone.where("kept"), "line-verdicts"), "inner", mark)

@@ -64,20 +64,21 @@ def _span_bits(rows: int) -> int:
     return max(0, math.ceil(math.log2(max(rows, 1) / RANGE_ROWS)))
 
 
-def row_keys() -> list[Column]:
-    """Two hashes, ``one`` and ``two``, of a document's id, source and text; none is null."""
+def row_keys(rest: Sequence[str] = ()) -> list[Column]:
+    """Two hashes, ``one`` and ``two``, of a document's id, source and text and of ``rest``; none is null."""
     parts = [F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")]
+    parts += [F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest]))] if rest else []
     parts += [x.isNull() for x in parts]
     return [F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in ((1, "one"), (2, "two"))]
 
 
-def sizes(docs: DataFrame, seed: int) -> DataFrame:
+def sizes(docs: DataFrame, seed: int, rest: Sequence[str] = ()) -> DataFrame:
     """``doc_id``, ``source``, words and hashes of each document; written, so texts are read once."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
-        *row_keys(),
+        *row_keys(rest),
     )
     return materialize(rows.withColumn("mark", F.xxhash64(F.lit(seed), "one")), "mix-sizes")
 
@@ -159,13 +160,14 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     block: int = BLOCK_WORDS,
     seed: int = 17,
+    rest: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of each document, one row per document and pass over its source.
 
     ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``epoch`` (passes count from
     0), ``taken`` words, from the document's word ``first``; ``slot`` is where the mix first
     takes some of it. Blocks that no pass takes are summed up in a row with null ``epoch``.
-    ``one`` and ``two`` are ``row_keys`` of the document.
+    ``one`` and ``two`` are ``row_keys`` of the document, over the columns ``rest`` as well.
     A pass takes documents whole but for the one at which a source's words are complete.
     Taken words of a source are its target, rounded. The schedule's surplus or lack, a few slots
     a source, is settled at its end.
@@ -175,7 +177,7 @@ def mix(
     rows. Other columns: ignored. Reruns agree; equal rows are interchangeable.
     One task orders the sources; it gets one row for each.
     """
-    sized = sizes(docs, seed)
+    sized = sizes(docs, seed, rest)
     sources = source_targets(sized, share, most, weights)
     take = F.round("target").cast("long")
     n_blocks = F.ceil(F.col("source_size") / F.lit(block))
@@ -230,24 +232,29 @@ def _nothing() -> list[Column]:
 
 
 def taken_words(mixed: DataFrame) -> DataFrame:
-    """One row per document of a mix, with the words of all passes."""
-    names = ["doc_id", "size", "source_size", "target"]
-    filled = mixed.where("pos IS NOT NULL").groupBy("source_no", "pos", *names).agg(F.sum("taken").alias("taken"))
-    return filled.select(*names, "taken").unionByName(mixed.where("pos IS NULL").select(*names, "taken"))
+    """One row per document of a mix, with the words of all passes, their number and the slot of the first."""
+    names, told = ["doc_id", "size", "source_size", "target"], ["taken", "passes", "slot"]
+    filled = mixed.where("pos IS NOT NULL").groupBy("source_no", "pos", *names)
+    filled = filled.agg(F.sum("taken").alias("taken"), F.count("epoch").alias("passes"), F.min("slot").alias("slot"))
+    empty = mixed.where("pos IS NULL").withColumn("passes", F.lit(0).cast("long"))
+    return filled.select(*names, *told).unionByName(empty.select(*names, *told))
 
 
 def mixed_documents(docs: DataFrame, **how: object) -> DataFrame:
-    """The mix as rows of ``docs``: each document once per pass that takes some of it.
+    """The mix as rows of ``docs``: each document once per pass that takes some of it, in the order of the schedule.
 
-    The document at which a source is complete is cut to the words taken, joined by one space.
-    Documents that no pass takes, and those without words, are left out. Rows equal in id, source
-    and text have equal other columns in the mix, those of one of them.
+    Rows are dealt and sorted by slot, so written files follow each other as the mix goes. The
+    document at which a source is complete is cut to the words taken, joined by one space.
+    Documents that no pass takes, and those without words, are left out. Rows that agree in all
+    columns are as many rows of the mix; those that differ in any stay apart.
     """
-    passes = mix(docs, **how).where("taken > 0").select("one", "two", "size", "first", "taken")
+    rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    passes = mix(docs, rest=rest, **how).where("taken > 0").select("one", "two", "size", "first", "taken", "slot")
+    # One of the rows that agree in everything stands for them; each task sends one at most.
     keys = Window.partitionBy("one", "two").orderBy("one")
-    whole = docs.select(F.struct("*").alias("_doc"), *row_keys())
+    whole = docs.select(F.struct("*").alias("_doc"), *row_keys(rest))
     whole = whole.withColumn("_nth", F.row_number().over(keys)).where("_nth = 1")
-    joined = whole.join(passes, ["one", "two"])
+    joined = whole.join(passes, ["one", "two"]).repartitionByRange("slot").sortWithinPartitions("slot")
     full = F.col("_doc.text").cast("string")
     words = F.regexp_extract_all(full, F.lit(f"({WORD})"), F.lit(1))
     some = F.array_join(F.slice(words, (F.col("first") + 1).cast("int"), F.col("taken").cast("int")), " ")

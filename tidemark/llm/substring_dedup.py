@@ -77,7 +77,7 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
-    """Each document's distinct anchors: ``anchor``, ``doc`` and 32 bits of the content's hash."""
+    """Each document's distinct anchors: ``anchor``, ``doc`` and the content's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,10 +90,10 @@ def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
                 one, _ = content_hashes(words)
                 ids = np.asarray(batch.column("doc").slice(texts.first, len(texts)))
                 docs_, hashes = docs_[new], hashes[new]
-                columns = [pa.array(signed(hashes)), pa.array(ids[docs_]), pa.array(one[docs_].astype(np.int32))]
+                columns = [pa.array(signed(hashes)), pa.array(ids[docs_]), pa.array(signed(one)[docs_])]
                 yield pa.RecordBatch.from_arrays(columns, names=["anchor", "doc", "content"])
 
-    return docs.mapInArrow(run, "anchor long, doc long, content int")
+    return docs.mapInArrow(run, "anchor long, doc long, content long")
 
 
 def _edge_rows(flagged: DataFrame, size: int) -> DataFrame:
@@ -116,10 +116,10 @@ def _edge_rows(flagged: DataFrame, size: int) -> DataFrame:
                 one, _ = content_hashes(words)
                 ids = np.asarray(batch.column("doc").slice(texts.first, len(texts)))
                 at = (starts - words.bounds[of]).astype(np.int32)
-                columns = [pa.array(signed(edges)), pa.array(ids[of]), pa.array(one[of].astype(np.int32)), pa.array(at)]
+                columns = [pa.array(signed(edges)), pa.array(ids[of]), pa.array(signed(one)[of]), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(columns, names=["edge", "doc", "content", "at"])
 
-    return flagged.select("doc", "text", "anchors").mapInArrow(run, "edge long, doc long, content int, at int")
+    return flagged.select("doc", "text", "anchors").mapInArrow(run, "edge long, doc long, content long, at int")
 
 
 def _span_words(texts: Texts, words: HashedWords, start: int, n: int) -> bytes:
@@ -170,7 +170,7 @@ def _cut(rows: DataFrame) -> DataFrame:
                     else:
                         for span in batch.column("spans")[i].as_py() or ():
                             at, n = span["at"], span["n"]
-                            if span["content"] != int(np.int64(one).astype(np.int32)) or at + n > total:
+                            if span["content"] != one or at + n > total:
                                 continue
                             if hashlib.sha256(_span_words(text, words, at, n)).digest() == span["digest"]:
                                 gone[at : at + n] = True

@@ -59,6 +59,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.bytewise = self._byte_letters()
         self.forget()
+        self.by_word = self._splits_as_supposed()
 
     def _byte_letters(self) -> dict[int, str]:
         """How the tokenizer's byte alphabet spells each plain letter; empty if plain words are not one piece."""
@@ -77,6 +78,17 @@ class Encoder:
                 return {}
         return letters
 
+    def _splits_as_supposed(self) -> bool:
+        """Whether words by themselves, A-Z lowered, get the ids that they have in whole texts."""
+        samples = ("A Plain Text", "naïve ÜBER 123,45 (it's) a\tb\n\nc", "x  y", " lead", "snake_case CamelCase!?", "日本語 text", "")
+        raw = [x.encode() for x in samples]
+        texts = Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0)
+        self.by_word = True
+        ids, bounds = self.encode(texts)
+        self.forget()
+        whole = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples]
+        return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole
+
     def forget(self) -> None:
         self.known: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
@@ -138,7 +150,14 @@ class Encoder:
         return self.ids[gather(self.starts[slots], lengths)], sums[words.bounds]
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, bounds)``: text ``i`` has ``ids[bounds[i]:bounds[i + 1]]``."""
+        """``(ids, bounds)``: text ``i`` has ``ids[bounds[i]:bounds[i + 1]]``.
+
+        Files whose rules are others, such as those that tell cases apart, encode whole texts.
+        """
+        if not self.by_word:
+            parts = [self._coded(texts.data[a:b].tobytes()) for a, b in zip(texts.offsets, texts.offsets[1:])]
+            parts = parts or [np.zeros(0, np.uint32)]
+            return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])[: len(texts) + 1]
         lowered = LOWER[texts.data]
         special = np.flatnonzero((lowered[:-1] == 60) & (lowered[1:] == 124))
         if len(special):
@@ -153,11 +172,13 @@ class Encoder:
     def _whole(self, texts: Texts, i: int) -> np.ndarray:
         text = texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes()
         if b"<|" in text:
-            coded = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
-            return np.array(coded.ids, np.uint32)
+            return self._coded(text)
         one = Texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 0)
         return self.encode(one)[0]
 
+    def _coded(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
