@@ -20,15 +20,24 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the importance draw keeps, by the labels beside them."""
+    """Documents that the importance draw keeps, by the labels beside them.
+
+    Null and empty texts are drawn by noise alone, equal draws together. Repeated rows are rows of their
+    own. No rows: no rows; no labels: all stay.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated runs of three lines; one that had words and has none left goes."""
-    kept = line_dedup.dedup_lines(docs)
+    """Documents without repeated runs of three lines; one that had words and has none left goes.
+
+    Null and empty texts stay. Repeated rows, rows without an id, and columns of any names stay as they are.
+    """
+    whole = docs.select("doc_id", "text", F.struct("*").alias("_row"))
+    kept = line_dedup.dedup_lines(whole)
     emptied = (F.col("n_removed") > 0) & (mixing.word_count(F.col("text")) == 0)
-    return _with_length(kept.where(~emptied), docs)
+    own = [F.col("_row").getField(c).alias(c) if c != "text" else F.col("text") for c in docs.columns]
+    return _with_length(kept.where(~emptied).select(*own), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +54,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix passes over them; the one at which a source is complete is cut."""
+    """Documents as often as the mix passes over them; the one at which a source is complete is cut.
+
+    Null sources are one source, the last. Texts without words go. Repeated rows are rows of their own; rows
+    that differ in any column stay apart. No rows: no rows.
+    """
     return _with_length(mixing.mixed_documents(docs), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in windows of 2048 token ids, with their ids."""
+    """Pieces in windows of 2048 token ids, with their ids.
+
+    Null and empty texts are their end token. Repeated rows and rows without an id are documents of their own.
+    No rows: no rows.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
