@@ -240,10 +240,11 @@ def taken_words(mixed: DataFrame) -> DataFrame:
     return filled.select(*names, *told).unionByName(empty.select(*names, *told))
 
 
-def mixed_documents(docs: DataFrame, **how: object) -> DataFrame:
+def mixed_documents(docs: DataFrame, in_order: bool = True, **how: object) -> DataFrame:
     """The mix as rows of ``docs``: each document once per pass that takes some of it, in the order of the schedule.
 
-    Rows are dealt and sorted by slot, so written files follow each other as the mix goes. The
+    Rows are dealt and sorted by slot, so written files follow each other as the mix goes; without
+    ``in_order`` they stay where their join leaves them, which saves a shuffle of all texts. The
     document at which a source is complete is cut to the words taken, joined by one space.
     Documents that no pass takes, and those without words, are left out. Rows that agree in all
     columns are as many rows of the mix; those that differ in any stay apart.
@@ -254,7 +255,9 @@ def mixed_documents(docs: DataFrame, **how: object) -> DataFrame:
     keys = Window.partitionBy("one", "two").orderBy("one")
     whole = docs.select(F.struct("*").alias("_doc"), *row_keys(rest))
     whole = whole.withColumn("_nth", F.row_number().over(keys)).where("_nth = 1")
-    joined = whole.join(passes, ["one", "two"]).repartitionByRange("slot").sortWithinPartitions("slot")
+    joined = whole.join(passes, ["one", "two"])
+    if in_order:
+        joined = joined.repartitionByRange("slot").sortWithinPartitions("slot")
     full = F.col("_doc.text").cast("string")
     words = F.regexp_extract_all(full, F.lit(f"({WORD})"), F.lit(1))
     some = F.array_join(F.slice(words, (F.col("first") + 1).cast("int"), F.col("taken").cast("int")), " ")
