@@ -59,7 +59,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null sources are one source, the last. Texts without words go. Repeated rows are rows of their own; rows
     that differ in any column stay apart. No rows: no rows.
     """
-    return _with_length(mixing.mixed_documents(docs), docs)
+    mixed = mixing.mixed_documents(docs, in_order=False)  # packing deals its rows anew
+    return _with_length(mixed, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
