@@ -1,4 +1,4 @@
-"""Send this library's code to the executors, which need not have it installed."""
+"""Send this library's code to the executors, which need not have it installed, and bound what a task gets at a time."""
 
 from __future__ import annotations
 
@@ -27,10 +27,18 @@ def _archive() -> str:
 
 _served: set[str] = set()
 
+# By default a batch has up to 10,000 rows, however long their texts are.
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Make the library importable in the Python workers of ``spark``."""
+    """Make the library importable in the Python workers of ``spark``.
+
+    Batches of rows sent to them are bounded to 8 MB, or one row, unless the session sets a limit.
+    """
     context = spark.sparkContext
     if context.applicationId not in _served:
         context.addPyFile(_archive())
         _served.add(context.applicationId)
+    if BATCH_LIMIT not in spark.conf.getAll:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
