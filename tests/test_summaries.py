@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, tuples
@@ -108,3 +111,32 @@ def test_churn_label_uses_the_greater_of_threshold_and_median(frame):
 def test_recency_equal_to_the_median_is_not_churned(frame):
     df = frame([(D[0], 200)] * 3 + [(D[0], 201)], "day date, recency_days int")
     assert sum(r.churned for r in features.churn_label(df, "day").collect()) == 1
+
+
+@pytest.mark.parametrize("type_", ["int", "double", "decimal(38,3)"])
+def test_median_by_selection_equals_sorting(frame, type_):
+    random.seed(5)
+    days = {
+        D[0]: [random.randint(-500, 500) + random.choice([0, 0.125, 0.5]) for _ in range(601)],
+        D[1]: [7.5] * 300 + [random.gauss(0, 1e4) for _ in range(500)],  # one value with a third of the rows
+        D[2]: [1, 2],
+        D[3]: [3.25],
+        None: [random.random() * 1e6 for _ in range(100)],
+        D[5]: [None],
+    }
+    rows = [(day, v if v is None else f"{v:.3f}") for day, values in days.items() for v in values]
+    df = frame(rows, "day date, text string").select("day", F.col("text").cast("double").cast(type_).alias("v"))
+    values = {}
+    for r in df.where("v IS NOT NULL").collect():
+        values.setdefault(r.day, []).append(r.v)
+    expected = {day: float(statistics.median(v)) for day, v in values.items()}
+    for most in (30, 10_000):  # two rounds, none
+        found = features.median_of_days(df, "v", "day", most=most, cuts=5).collect()
+        assert {r.day: r.median for r in found} == pytest.approx(expected, rel=1e-15)
+    assert features.median_of_days(df.where("v > 1e9"), "v", "day").count() == 0
+
+
+def test_median_of_values_that_agree_as_doubles(frame):
+    rows = [(D[0], f"9999999999999999999999999.{i:03d}") for i in range(400)]
+    df = frame(rows, "day date, v string").select("day", F.col("v").cast("decimal(38,3)"))
+    assert features.median_of_days(df, "v", "day", most=4, cuts=5).first().median == 1e25
