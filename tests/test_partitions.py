@@ -33,13 +33,13 @@ def test_spine_to_last_day_or_given_end(frame):
 
 def test_recent_partitions(frame):
     inv = inventory(frame, [("a", d) for d in D[:10]] + [("b", D[9])])
-    assert tuples(p.recent_partitions(inv)) == [(d,) for d in D[3:10]]
+    assert tuples(p.recent_partitions(inv, 7)) == [(d,) for d in D[3:10]]
 
 
 def test_missing_partitions_inside_the_window_only(frame):
     # The gap on D[1] is eight days old on D[9] and falls outside the window.
     inv = inventory(frame, [("a", d) for d in D[:10] if d not in (D[1], D[5])] + [("b", D[9])])
-    found = tuples(p.missing_partitions(inv, D[9]))
+    found = tuples(p.missing_partitions(inv, D[9], 7))
     assert [r for r in found if r[0] == "a"] == [("a", D[5])]
     assert [r[1] for r in found if r[0] == "b"] == D[3:9]
 

@@ -14,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKBACK_DAYS = 7
-
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -50,14 +48,12 @@ def date_spine(df: DataFrame, day: str, until: Column | None = None) -> DataFram
     return bounds.select(F.explode(F.sequence("first", "last")).alias("day"))
 
 
-def recent_partitions(inventory: DataFrame, n: int = LOOKBACK_DAYS, day: str = "day") -> DataFrame:
+def recent_partitions(inventory: DataFrame, n: int, day: str = "day") -> DataFrame:
     """The ``n`` newest distinct partitions."""
     return inventory.select(day).distinct().orderBy(F.col(day).desc()).limit(n)
 
 
-def missing_partitions(
-    inventory: DataFrame, as_of: dt.date, lookback: int = LOOKBACK_DAYS
-) -> DataFrame:
+def missing_partitions(inventory: DataFrame, as_of: dt.date, lookback: int) -> DataFrame:
     """Days of the lookback window ending on ``as_of`` that a known table lacks."""
     first = as_of - dt.timedelta(days=lookback - 1)
     wanted = (
@@ -110,9 +106,7 @@ def days_of_any(inventory: DataFrame, names: Sequence[str]) -> DataFrame:
     return inventory.where(F.col("table_name").isin(*names)).select("day").distinct()
 
 
-def due_partitions(
-    candidates: DataFrame, built: DataFrame, recent: int = LOOKBACK_DAYS
-) -> DataFrame:
+def due_partitions(candidates: DataFrame, built: DataFrame, recent: int) -> DataFrame:
     """Of the newest ``recent`` candidate days, those that the target does not hold yet."""
     return unbuilt_partitions(recent_partitions(candidates, recent), built)
 

@@ -105,7 +105,7 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT CAST(ts AS DATE) AS day FROM events ORDER BY day DESC LIMIT 7")
 def recent_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partitions.recent_partitions(events(spark, sf_dir))
+    return partitions.recent_partitions(events(spark, sf_dir), 7)
 
 
 @query("""
