@@ -48,6 +48,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(file)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    file_system, folder = _located(spark, path)
+    if not file_system.exists(folder):
+        return []
+    return sorted(x.getPath().getName() for x in file_system.listStatus(folder) if x.isDirectory())
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that is seen whole or not at all."""
     file_system, file = _located(spark, path)

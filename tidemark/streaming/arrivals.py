@@ -8,16 +8,19 @@ partition-replacing write.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.files import exists
+from tidemark.operators.keys import surrogate_key
 from tidemark.operators.latest import latest_per_key
 from tidemark.scratch import materialize
 from tidemark.sinks.warehouse import LoadStats, Warehouse
 from tidemark.sources.landing import read_snapshots
 from tidemark.sources.routing import route_files
+from tidemark.streaming.ledger import Ledger
 
 # The fixed schema of the binary file source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -78,25 +81,38 @@ def ingest(
     )
 
 
-def ingest_changes(warehouse: Warehouse, folder: str, ledger: str) -> list[LoadStats]:
+def ingest_changes(
+    warehouse: Warehouse,
+    folder: str,
+    ledger: str,
+    files_per_batch: int = 1000,
+    since: dt.datetime | None = None,
+) -> list[LoadStats]:
     """Land files that are new, or newer than when they were last landed; file contents are only read then.
 
-    ``ledger`` is a folder that keeps path and modification time of every landed file. A file
-    is entered after its partition is written, so an interrupted call lands it again.
+    ``ledger`` is a folder that keeps path and modification time of every landed file (see ``Ledger``).
+    Files are landed in the order of their times, ``files_per_batch`` at a time, so that no more names
+    than that are on the driver. A batch is entered after its partitions are written; an interrupted call
+    lands at most that batch again. With ``since``, only files changed after it are listed and compared;
+    without, a file that arrives with an old time is found as well.
     """
     spark = warehouse.spark
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .load(folder)
-        .select("path", "modificationTime")
-    )
-    known = "path string, modificationTime timestamp"
-    if not exists(spark, ledger):
-        spark.createDataFrame([], known).write.parquet(ledger)
-    handled = spark.read.schema(known).parquet(ledger).groupBy("path").agg(F.max("modificationTime").alias("seen"))
-    fresh = listing.join(handled, "path", "left").where("seen IS NULL OR modificationTime > seen").drop("seen")
-    fresh = materialize(fresh, "arrivals")
-    stats = land_files(warehouse, fresh)
-    fresh.write.mode("append").parquet(ledger)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]")
+    if since is not None:
+        utc = since.astimezone(dt.timezone.utc)
+        reader = reader.option("modifiedAfter", utc.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    listing = materialize(reader.load(folder).select("path", "modificationTime"), "listing")
+    known = Ledger(spark, ledger)
+    batch = F.floor((F.col("_n") - 1) / files_per_batch)
+    fresh = surrogate_key(known.fresh(listing, since), "_n", ["modificationTime", "path"])
+    fresh = materialize(fresh.withColumn("_batch", batch), "arrivals")
+    batches = (fresh.agg(F.max("_batch")).first()[0] or 0) + 1
+    stats = []
+    for number in range(batches):
+        files = fresh.where(F.col("_batch") == number).select("path", "modificationTime")
+        if files.isEmpty():
+            break
+        stats += land_files(warehouse, files)
+        known.add(files)
+    known.compact(listing if since is None else None)
     return stats
