@@ -6,6 +6,7 @@ import base64
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.archives import (
     CAPTURED,
@@ -15,6 +16,7 @@ from tidemark.llm.archives import (
     arc_to_warc,
     read_arc,
     read_warc,
+    repeated_payloads,
     to_warc,
     write_arcs,
 )
@@ -96,3 +98,36 @@ def test_small_archives_and_files(spark, frame):
 
 def test_no_pages(spark, frame):
     assert archive_pages(frame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_a_payload_of_a_third_of_all_records_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    records = spark.range(30_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("EMPTY")).otherwise((F.col("id") % 5000).cast("string")).alias("payload_digest"),
+        F.lit(7).cast("long").alias("payload_bytes"),
+        F.when(F.col("id") != 5, F.col("id")).alias("page_id"),
+        *[F.sha2(F.col("id").cast("string"), 256).alias(c) for c in ("record_id", "url", "date")],
+    )
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = repeated_payloads(records).select("payload_digest", "page_id", "leader.page_id")
+        rows = found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    tops, members = {}, {}
+    for i in range(30_000):
+        key = "EMPTY" if i % 3 == 0 else str(i % 5000)
+        members.setdefault(key, []).append(None if i == 5 else i)
+        tops[key] = max([j for j in members[key] if j is not None], default=None)
+    expected = {(k, i, tops[k]) for k, v in members.items() for i in v if i != tops[k]}
+    assert {tuple(r) for r in rows} == expected and len(rows) == len(expected)

@@ -254,6 +254,21 @@ def to_warc(archive: str, data: bytes, revisits: dict[int, tuple[str, str, str]]
         yield warc_record(fields, block)
 
 
+def repeated_payloads(records: DataFrame, least: int = 0) -> DataFrame:
+    """Records whose payload, of at least ``least`` bytes, a record with a larger page id has too, each with its ``leader``."""
+    large = records.where(F.col("payload_bytes") >= least)
+    same = ["payload_digest", "payload_bytes"]
+    # The bits of a page id turned round: the largest id comes first, without overflow.
+    place = [F.col("page_id").isNull().alias("unnamed"), F.bitwise_not("page_id").alias("place")]
+    groups = large.groupBy(*same).agg(
+        F.min(F.struct(*place, "page_id", "record_id", "url", "date")).alias("leader"), F.count(F.lit(1)).alias("n")
+    )
+    # Written, so that the join of a payload that very many records share can be split.
+    groups = materialize(groups.where("n > 1 AND leader.page_id IS NOT NULL").drop("n"), "payload-leaders")
+    later = F.col("page_id").isNull() | (F.col("page_id") < F.col("leader.page_id"))
+    return large.join(groups, same).where(later)
+
+
 def arc_to_warc(spark: SparkSession, folder: str, least: int = 0) -> str:
     """Convert all ARC files of a folder; the folder of the WARC files, one for each.
 
@@ -263,15 +278,8 @@ def arc_to_warc(spark: SparkSession, folder: str, least: int = 0) -> str:
     """
     ship(spark)
     records = materialize(_files(spark, folder).mapInArrow(_describe, META), "arc-records")
-    large = records.where(F.col("payload_bytes") >= least)
-    same = ["payload_digest", "payload_bytes"]
-    groups = large.groupBy(*same).agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where("n > 1 AND top IS NOT NULL").drop("n")
-    members = large.join(groups, same)
-    leaders = members.where("page_id = top").groupBy(*same)
-    leaders = leaders.agg(F.min(F.struct("record_id", "url", "date")).alias("leader"))
-    revisits = members.where("page_id IS NULL OR page_id < top").join(leaders, same)
-    lists = revisits.groupBy("archive").agg(F.collect_list(F.struct("offset", "leader.*")).alias("revisits"))
+    revisits = repeated_payloads(records, least)
+    lists = revisits.groupBy("archive").agg(F.collect_list(F.struct("offset", "leader.record_id", "leader.url", "leader.date")).alias("revisits"))
     archives = _files(spark, folder)
     paired = archives.join(lists, archives["path"] == lists["archive"], "left").select("path", "content", "revisits")
 
