@@ -4,7 +4,7 @@ The newest row is taken with a ``max(struct(...))`` aggregate. It combines on th
 so a key that holds a third of all rows still sends one row per map task to the shuffle. Whole
 rows do not fit a hash aggregate, so each task sorts its rows first. A hash aggregate of the order
 column alone, joined back to the rows, avoids that sort, but reads the table twice and shuffles every
-raw row; it took 1.6 to 2.2 times as long on two million rows (README, "Scale").
+raw row; it took 1.6 to 2.5 times as long on two million rows (README, "Scale").
 """
 
 from __future__ import annotations
