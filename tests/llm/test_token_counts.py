@@ -82,3 +82,11 @@ def test_documents(spark, frame):
 
 def test_no_rows(spark, frame):
     assert token_counts(frame([], "doc_id long, text string"), PATH).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_words_against_all_segmentations(seed):
+    draw = random.Random(seed)
+    scores = {"".join(draw.choice("abc") for _ in range(draw.randint(1, 4))): -draw.randint(1, 6) for _ in range(20)}
+    word = "".join(draw.choice("abcé😀") for _ in range(LONG_WORD + 1 + draw.randint(0, 99)))
+    assert PrefixTrie(scores, -20).count(word) == brute(word, scores, -20)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import itertools
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shipping import ship
-from tidemark.llm.words import Texts, hashed_words, slices
+from tidemark.llm.words import Texts, gather, hashed_words, slices
 
 BOUNDARY = "▁"  # opens each word, as the piece file spells it
 MOST_NODES = 400_000
 MOST_WORDS = 400_000
 LONG_WORD = 200  # characters; longer words are computed without being stored
 UNIT = 1 << 20
+CHARACTER_BITS = 21  # of a key, below the bits of a node or state
+NO_PIECE = np.iinfo(np.int64).min
 
 
 @functools.cache
@@ -51,65 +54,130 @@ def piece_scores(path: str) -> tuple[dict[str, int], int]:
 
 
 class PrefixTrie:
-    """Best segmentations of all prefixes of the words in it."""
+    """Best segmentations of all prefixes of the words in it, as arrays over its nodes.
+
+    Words are added many at a time, one character of each at a time: the nodes of one depth
+    are settled together, from those above them.
+    """
 
     def __init__(self, scores: dict[str, int], unknown: int):
         self.unknown = unknown
-        # Every ending of a piece, with the score of those that are pieces: no longer piece can
-        # end where a shorter run of characters ends none.
-        self.endings: dict[str, int | None] = {}
+        self.longest = max(map(len, scores))
+        # A state is a run of characters that ends a piece. An edge puts a character before a
+        # run: no longer piece can end where a shorter run ends none.
+        self.runs = {"": 0}
         for piece in scores:
-            for begin in range(len(piece)):
-                self.endings.setdefault(piece[begin:], None)
-        self.endings.update(scores)
+            for begin in range(len(piece) - 1, -1, -1):
+                self.runs.setdefault(piece[begin:], len(self.runs))
+        edges = sorted((self.runs[run[1:]] << CHARACTER_BITS | ord(run[0]), to) for run, to in self.runs.items() if run)
+        edges.append((np.iinfo(np.int64).max, 0))
+        self.edges, self.states = np.array(edges, np.int64).T.copy()
+        self.scores = np.array([scores.get(run, NO_PIECE) for run in self.runs], np.int64)
         self.clear()
 
     def clear(self) -> None:
         """Leave the root, the empty prefix, with no tokens."""
-        # A node is its best score, the tokens of that, and its children by character.
-        self.root: list = [0, 0, None]
         self.size = 1
-
-    def _step(self, word: str, end: int, path: list[list]) -> list:
-        """The node of ``word[:end]``; ``path`` holds those of shorter prefixes.
-
-        The higher score wins, of equal scores the fewer tokens.
+        self.children: dict[int, int] = {}  # by node and character
+        # Of each node: its best score, the tokens of that, the node above and its character.
+        self.best, self.tokens, self.parents, self.characters = np.zeros((4, 1024), np.int64)
+
+    def _settle(self, nodes: np.ndarray) -> None:
+        """Score nodes whose parents are settled; the higher score wins, of equal scores the fewer tokens."""
+        parents = self.parents[nodes]
+        best = self.best[parents] + self.unknown
+        tokens = self.tokens[parents] + utf8_bytes(self.characters[nodes])
+        at, ends, states = np.arange(len(nodes)), nodes, np.zeros(len(nodes), np.int64)
+        while len(at):
+            wanted = states << CHARACTER_BITS | self.characters[ends]
+            edges = np.searchsorted(self.edges, wanted)
+            hit = self.edges[edges] == wanted
+            at, ends, states = at[hit], self.parents[ends[hit]], self.states[edges[hit]]
+            piece = np.flatnonzero(self.scores[states] != NO_PIECE)
+            to, score = at[piece], self.best[ends[piece]] + self.scores[states[piece]]
+            fewer = self.tokens[ends[piece]] + 1
+            better = (score > best[to]) | ((score == best[to]) & (fewer < tokens[to]))
+            best[to[better]], tokens[to[better]] = score[better], fewer[better]
+            inside = ends > 0
+            at, ends, states = at[inside], ends[inside], states[inside]
+        self.best[nodes], self.tokens[nodes] = best, tokens
+
+    def _below(self, keys: np.ndarray) -> np.ndarray:
+        """The nodes of different (node, character) keys; those that are missing are added."""
+        nodes = np.fromiter(map(self.children.get, keys.tolist(), itertools.repeat(0)), np.int64, len(keys))
+        new = np.flatnonzero(nodes == 0)
+        if len(new):
+            added = np.arange(self.size, self.size + len(new))
+            self.size += len(new)
+            while len(self.best) < self.size:
+                arrays = (self.best, self.tokens, self.parents, self.characters)
+                self.best, self.tokens, self.parents, self.characters = [np.concatenate([x, np.zeros_like(x)]) for x in arrays]
+            nodes[new] = added
+            self.parents[added], self.characters[added] = keys[new] >> CHARACTER_BITS, keys[new] & (1 << CHARACTER_BITS) - 1
+            self.children.update(zip(keys[new].tolist(), added.tolist()))
+            self._settle(added)
+        return nodes
+
+    def counts(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Tokens of the best segmentations of words, given as runs of code points.
+
+        The words join the trie; very long ones are computed without being stored.
         """
-        before, last = path[end - 1], word[end - 1]
-        top = before[0] + self.unknown
-        least = before[1] + (1 if last < "\x80" else len(last.encode("utf-8", "replace")))
-        endings = self.endings
-        for begin in range(end - 1, -1, -1):
-            run = word[begin:end]
-            if run not in endings:
-                break
-            score = endings[run]
-            if score is not None:
-                start = path[begin]
-                score += start[0]
-                if score > top or score == top and start[1] + 1 < least:
-                    top, least = score, start[1] + 1
-        return [top, least, None]
+        nodes = np.zeros(len(starts), np.int64)
+        active, depth = np.flatnonzero((lengths > 0) & (lengths <= LONG_WORD)), 0
+        while len(active):
+            keys = nodes[active] << CHARACTER_BITS | points[starts[active] + depth]
+            keys, back = np.unique(keys, return_inverse=True)
+            nodes[active] = self._below(keys)[back]
+            depth += 1
+            active = active[lengths[active] > depth]
+        counts = self.tokens[nodes]
+        for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+            run = points[starts[i] : starts[i] + lengths[i]]
+            counts[i] = self._alone(run.astype("<u4").tobytes().decode("utf-32-le"))
+        return counts
 
     def count(self, word: str) -> int:
-        """Tokens of the word's best segmentation; the word joins the trie unless it is very long."""
-        node = self.root
-        path = [node]
-        if len(word) > LONG_WORD:
-            for end in range(1, len(word) + 1):
-                path.append(self._step(word, end, path))
-            return path[-1][1]
-        for end, character in enumerate(word, 1):
-            children = node[2]
-            if children is None:
-                children = node[2] = {}
-            child = children.get(character)
-            if child is None:
-                child = children[character] = self._step(word, end, path)
-                self.size += 1
-            path.append(child)
-            node = child
-        return node[1]
+        """Tokens of the word's best segmentation."""
+        points = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.int64)
+        return int(self.counts(points, np.zeros(1, np.int64), np.array([len(points)]))[0])
+
+    def _alone(self, word: str) -> int:
+        """The same without the trie; as many prefixes are held as the longest piece has characters."""
+        recent = deque([(0, 0)], self.longest)  # score and tokens of the prefixes before, newest first
+        for end, last in enumerate(word, 1):
+            top, least = recent[0]
+            top, least = top + self.unknown, least + len(last.encode())
+            for begin, (score, tokens) in zip(range(end - 1, -1, -1), recent):
+                state = self.runs.get(word[begin:end])
+                if state is None:
+                    break
+                piece = int(self.scores[state])
+                if piece != NO_PIECE and (score + piece > top or score + piece == top and tokens + 1 < least):
+                    top, least = score + piece, tokens + 1
+            recent.appendleft((top, least))
+        return recent[0][1]
+
+
+def utf8_bytes(points: np.ndarray) -> np.ndarray:
+    """Bytes of each code point in UTF-8."""
+    return 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+
+
+def opened_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of words with the opening sign before each, and where each word starts and its length."""
+    opening = np.frombuffer(BOUNDARY.encode(), np.uint8)
+    lengths = ends - starts
+    steps = lengths + len(opening) + 1  # a space after each word, which is in none
+    at = np.cumsum(steps) - steps
+    spaced = np.full(int(steps.sum()), ord(" "), np.uint8)
+    spaced[at[:, None] + np.arange(len(opening))] = opening
+    spaced[gather(at + len(opening), lengths)] = data[gather(starts, lengths)]
+    text = spaced.tobytes().decode("utf-8", "replace")
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    stops = np.flatnonzero(points == ord(" "))
+    begins = np.concatenate([[0], stops[:-1] + 1])
+    return points, begins, stops - begins
 
 
 class Counter:
@@ -131,9 +199,9 @@ class Counter:
         if len(new):
             seen = np.zeros(len(keys), np.int64)
             seen[back] = np.arange(len(back))
-            for i, at in zip(new.tolist(), seen[new].tolist()):
-                word = texts.data[words.starts[at] : words.ends[at]].tobytes().decode("utf-8", "replace")
-                counts[i] = self.known[listed[i]] = self.trie.count(BOUNDARY + word)
+            at = seen[new]
+            counts[new] = self.trie.counts(*opened_words(texts.data, words.starts[at], words.ends[at]))
+            self.known.update(zip(keys[new].tolist(), counts[new].tolist()))
         sums = np.concatenate([[0], np.cumsum(counts[back])]) if len(back) else np.zeros(1, np.int64)
         return np.diff(words.bounds), sums[words.bounds[1:]] - sums[words.bounds[:-1]]
 
