@@ -7,16 +7,14 @@ there is nothing to learn from; the caller then leaves earlier results in place.
 from __future__ import annotations
 
 import logging
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.clustering import kmeans, nearest
 from tidemark.operators.features import churn_label
 from tidemark.plans.staging import SNAPSHOT
 
@@ -39,9 +37,6 @@ HIGH_RISK = 0.5
 SEGMENT_TOLERANCE = 1e-6
 CHURN_TOLERANCE = 1e-13
 
-# Restarts that run at a time; each is a series of short jobs over the cached features.
-PARALLEL_FITS = 5
-
 
 def _scaler(df: DataFrame) -> SQLTransformer | None:
     """Stage that standardises the features by their population statistics; None if no rows."""
@@ -63,49 +58,39 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[f"{c}_z" for c in FEATURES], outputCol="features")
 
 
-def _fit(points: DataFrame, k: int, restart: int) -> KMeansModel:
-    model = KMeans(
-        k=max(k, 2),
-        seed=SEED + restart,
-        featuresCol="features",
-        maxIter=SEGMENT_ITERATIONS,
-        tol=SEGMENT_TOLERANCE,
-    ).fit(points)
-    if model.summary.numIter >= SEGMENT_ITERATIONS:
-        log.warning("start %d stopped after %d iterations, unsettled", restart, SEGMENT_ITERATIONS)
-    return model
-
-
 def customer_segments(rfm: DataFrame, keep: list[str]) -> DataFrame | None:
     """Four k-means clusters, best of ten starts, numbered by the value of their centre.
 
     A centre's value is frequency plus monetary minus recency in scaled units, so a segment
     id means the same on every day. Fewer than four different customers make fewer clusters.
+    All starts share each pass over the features. A feature that is NULL is an error.
     """
     scaler = _scaler(rfm)
     if scaler is None:
         log.warning("no features; nothing to segment")
         return None
-    points = _assembler().transform(scaler.transform(rfm)).persist()
+    scaled = [f"{c}_z" for c in FEATURES]
+    points = scaler.transform(rfm)
+    missing = F.raise_error(F.lit("a feature is missing")).cast("double")
+    points = points.select(*keep, *FEATURES, *[F.coalesce(F.col(c), missing).alias(c) for c in scaled])
+    held = points.select(*scaled).persist()
     try:
-        # Also fills the cache, before the fits share it.
-        distinct = points.select(*FEATURES).distinct().limit(len(SEGMENT_LABELS)).count()
-        share = inheritable_thread_target(rfm.sparkSession)
-        with ThreadPool(PARALLEL_FITS) as pool:
-            fits = pool.map(share(lambda i: _fit(points, distinct, i)), range(RESTARTS))
+        # Also fills the cache, before the starts share it.
+        distinct = held.distinct().limit(len(SEGMENT_LABELS)).count()
+        fits = kmeans(held, scaled, distinct, RESTARTS, SEED, SEGMENT_ITERATIONS, SEGMENT_TOLERANCE)
     finally:
-        points.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    centers = [tuple(float(x) for x in center) for center in best.clusterCenters()]
-    ranked = sorted(range(len(centers)), key=lambda i: (centers[i][1] + centers[i][2] - centers[i][0], centers[i]))
-    ids = {cluster: SEGMENT_ORDER[rank] for rank, cluster in enumerate(ranked)}
-    segment = F.element_at(F.create_map(*[F.lit(x) for pair in ids.items() for x in pair]), F.col("prediction"))
+        held.unpersist()
+    for start, fit in enumerate(fits):
+        if not fit.settled:
+            log.warning("start %d stopped after %d iterations, unsettled", start, SEGMENT_ITERATIONS)
+    centers = sorted(min(fits, key=lambda fit: fit.cost).centers, key=lambda z: (z[1] + z[2] - z[0], z))
+    literals = [[F.lit(x) for x in center] for center in centers]
+    segment = nearest(scaled, literals, SEGMENT_ORDER[: len(centers)]).getField("label")
     label = F.element_at(
         F.create_map(*[F.lit(x) for pair in SEGMENT_LABELS.items() for x in pair]), F.col("segment_id")
     )
     return (
-        best.transform(points)
-        .withColumn("segment_id", segment)
+        points.withColumn("segment_id", segment)
         .withColumn("segment_label", label)
         .select(*keep, *FEATURES, "segment_id", "segment_label")
     )
