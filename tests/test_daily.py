@@ -359,6 +359,27 @@ def test_monthly_files_with_changes_only(frame):
     assert tuples(full.select("snapshot_date", "prd_id")) == [(eve, 1), (eve, 2), (MAY, 1), (MAY, 3)]
 
 
+def test_known_months_are_not_looked_up_in_the_data(spark, frame):
+    rows = [(1, "AC-HE-X", "a", 1, "R", dt.date(2011, 7, 1), D1), (2, "AC-HE-Y", "b", 2, "M", dt.date(2011, 7, 1), MAY)]
+    raw = frame(rows, "prd_id int, prd_key string, prd_nm string, prd_cost int, prd_line string, prd_start_dt date, snapshot_month date")
+    spark.sparkContext.setJobGroup("known-months", "")
+    given = staging.crm_prd_info(raw, D2, MAY, known=[D1, MAY])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("known-months")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tuples(given.drop("dwh_create_date")) == tuples(staging.crm_prd_info(raw, D2, MAY).drop("dwh_create_date"))
+
+
+def test_a_cleared_month_does_not_supersede(spark, tmp_path):
+    forget(spark)
+    warehouse = prepare(spark, tmp_path)
+    land_products(warehouse, tmp_path, D1)
+    land_products(warehouse, tmp_path, MAY)
+    assert warehouse.filled_days("raw.prd_info") == [D1, MAY]
+    warehouse.replace_partition("raw.prd_info", warehouse.table("raw.prd_info").limit(0), MAY)
+    assert warehouse.filled_days("raw.prd_info") == [D1]
+    forget(spark)
+
+
 def test_failed_test_stops_the_build(spark, tmp_path):
     forget(spark)
     warehouse = prepare(spark, tmp_path)

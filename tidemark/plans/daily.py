@@ -192,7 +192,11 @@ DAILY_TABLES: dict[str, Builder] = {
         w.table("state.customers"), w.table("staging.stg_erp_CUST_AZ12"), w.table("state.locations"), a, b
     ),
     "mart.dim_products_history": lambda w, a, b, _: marts.dim_products_history(
-        w.table("staging.stg_crm_prd_info"), w.table("staging.stg_erp_PX_CAT_G1V2"), a, b
+        w.table("staging.stg_crm_prd_info"),
+        w.table("staging.stg_erp_PX_CAT_G1V2"),
+        a,
+        b,
+        known=w.filled_days("staging.stg_crm_prd_info"),
     ),
     "mart.dim_products": lambda w, a, b, _: marts.dim_products(
         w.table("mart.dim_products_history"), a, b
@@ -237,7 +241,8 @@ def _stage_products(
     name, first, last = "staging.stg_crm_prd_info", days[0], days[-1]
 
     def rows() -> DataFrame:
-        products = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last)
+        months = warehouse.filled_days("raw.prd_info")
+        products = staging.crm_prd_info(warehouse.table("raw.prd_info"), first, last, known=months)
         return products.where(F.col(SNAPSHOT).isin(days))
 
     publish_tested(warehouse, name, rows, first != last, result)

@@ -6,6 +6,7 @@ Surrogate keys are numbered inside each day, so they only join to rows of the sa
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +81,18 @@ def dim_customers_of(
 
 
 def dim_products_history(
-    products: DataFrame, taxonomy: DataFrame, start: dt.date, end: dt.date
+    products: DataFrame,
+    taxonomy: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    known: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """All product versions of the snapshot in effect on each day, with their category."""
+    """All product versions of the snapshot in effect on each day, with their category.
+
+    ``known`` lists the days with staged products where the caller has them from a catalog.
+    """
     staged = products.drop("dwh_create_date").withColumnRenamed(SNAPSHOT, "staged_on")
-    versions = bridge_to_days(staged, "staged_on", SNAPSHOT, start, end).alias("v")
+    versions = bridge_to_days(staged, "staged_on", SNAPSHOT, start, end, known).alias("v")
     categories = in_days(taxonomy, start, end).alias("t")
     joined = versions.join(
         categories,

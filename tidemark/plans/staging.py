@@ -7,6 +7,7 @@ rebuilds a partition and one call with a range backfills all of them in one job.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,19 +54,24 @@ def crm_cust_info(raw: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def crm_prd_info(
-    raw: DataFrame, start: dt.date, end: dt.date, changes_only: bool = False
+    raw: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    changes_only: bool = False,
+    known: Sequence[dt.date] | None = None,
 ) -> DataFrame:
     """Products of the monthly snapshot in effect on each day, with derived end dates.
 
     A monthly file is the whole product list: versions are closed out once per snapshot and
     then spread over its days. With ``changes_only`` a file holds only new or changed
-    products, and earlier months carry forward.
+    products, and earlier months carry forward. ``known`` lists the months where the caller has
+    them from a catalog; otherwise the table is read for them.
     """
     if changes_only:
         typed = _typed_products(raw.where(F.col(MONTH) <= F.lit(end)))
         daily = daily_state(typed, ["prd_id"], MONTH, start, end, state_day=SNAPSHOT).drop(MONTH)
         return with_load_time(_closed_products(daily, SNAPSHOT))
-    months = partition_days(raw, MONTH)
+    months = partition_days(raw, MONTH) if known is None else known
     typed = _typed_products(reachable_snapshots(raw, MONTH, months, start, end))
     daily = bridge_to_days(_closed_products(typed, MONTH), MONTH, SNAPSHOT, start, end, known=months)
     return with_load_time(daily.drop(MONTH))

@@ -222,6 +222,11 @@ class Warehouse:
         rows = self.inventory(name).where("day IS NOT NULL").collect()
         return sorted(r["day"] for r in rows)
 
+    def filled_days(self, name: str) -> list[dt.date]:
+        """Stored partitions that hold rows, ascending; from the catalog and the version log alone."""
+        log = self.log.of(name)
+        return [d for d in self.days(name) if d not in log or log[d].row_count > 0]
+
     def _arranged(self, name: str, df: DataFrame) -> DataFrame:
         """Columns by name, in table order and type."""
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema(name)])
