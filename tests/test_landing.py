@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.errors import PySparkException
 
-from tests.conftest import tuples
+from tests.conftest import plan_of, tuples
 from tests.files import write_csv
 from tidemark.schemas import table_schema
 from tidemark.sources import landing, routing
@@ -114,6 +114,26 @@ def test_headers_are_read_without_a_job(spark, tmp_path):
     assert jobs <= 1 and df.count() == 60
 
 
+def test_names_are_routed_once_per_file_and_not_per_row(spark, tmp_path):
+    write_csv(tmp_path, "loc_a101_2026_04_27.csv", "loc_a101", [("AW-1", "US")] * 3)
+    df = landing.read_snapshot(spark, str(tmp_path), "loc_a101", DAY)
+    of_rows, of_files = plan_of(df).split("BroadcastExchange", 1)
+    assert "FileScan csv" in of_rows and "regexp_extract" not in of_rows and "try_to" not in of_rows
+    assert "FileScan csv" not in of_files
+    assert tuples(df) == [("AW-1", "US", DAY)] * 3
+
+
+def test_plain_whole_numbers_are_not_cast_by_trial(spark, tmp_path):
+    texts = {"7": 7, "-7.0": -7, "+7.": 7, "-0.00": 0, "007": 7, " 7": 7, "999999999.0": 999999999,
+             "2147483647.0": 2147483647, "-2147483648": -2147483648, "7e1": 70, ".7e1": 7}
+    rows = [(text, f"AW{i:02}", "a", "b", "S", "F", "2025-01-01") for i, text in enumerate(texts)]
+    write_csv(tmp_path, "cust_info_2026_04_27.csv", "cust_info", rows)
+    df = landing.read_snapshot(spark, str(tmp_path), "cust_info", DAY)
+    found = {r.cst_key: r.cst_id for r in df.collect()}
+    assert [found[k] for k in sorted(found)] == list(texts.values())
+    assert "RLIKE" in plan_of(df).upper()
+
+
 def test_missing_file_names_the_partition(spark, tmp_path):
     with pytest.raises(landing.MissingSnapshot, match="2026-04-27 of loc_a101"):
         landing.read_snapshot(spark, str(tmp_path), "loc_a101", DAY)
