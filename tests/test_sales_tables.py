@@ -36,6 +36,21 @@ def test_a_small_product_dimension_moves_no_order_lines(spark, tables, name):
     assert "FileScan parquet" in plan and "hashpartitioning(sls_prd_key" not in plan
 
 
+@pytest.mark.parametrize(
+    "name", ["table_fct_sales", "table_rpt_sales_summary_by_customer"]
+)
+def test_a_small_customer_dimension_moves_no_order_lines(spark, tables, name):
+    """The size of the stored table decides, not an estimate over the joins that made it."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16KB")
+    try:
+        plan = plan_of(QUERIES[name](spark, tables))
+    finally:
+        spark.conf.set(setting, before)
+    assert "FileScan parquet" in plan and "hashpartitioning(sls_cust_id" not in plan
+
+
 def test_lines_find_their_part_order_and_keys(spark, tables):
     found = QUERIES["table_fct_sales"](spark, tables).collect()
     lines = sorted((r.order_number, r.quantity, r.sales_amount, r.sls_price) for r in found)
