@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ import pytest
 from tests.conftest import tuples
 from tidemark.llm.substring_dedup import anchors, remove_repeats
 from tidemark.llm.words import hashed_words, slices, window_hashes
+from tidemark.scratch import SHUFFLE_CLEANUP, releasing, shared_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = (1 << 63) - 1
@@ -89,3 +92,48 @@ def test_equal_windows_have_equal_anchors():
     for window, anchor in zip(windows.tolist(), found.tolist()):
         assert by_window.setdefault(window, anchor) == anchor
     assert len(np.unique(found)) < len(np.unique(windows))
+
+
+def scratch_tables(spark):
+    folder = f"{shared_folder(spark).removeprefix('file://')}/tidemark/{spark.sparkContext.applicationId}"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString("\n").split("\n")
+    return {n for n in names if os.path.basename(n).startswith("shuffle_")}
+
+
+def test_only_the_verdicts_stay_on_disk(spark, frame):
+    draw = random.Random(7)
+    passage = [f"p{i}" for i in range(40)]
+    docs = []
+    for i in range(60):
+        low = draw.randint(0, 20)
+        docs.append((i // 2, " ".join([f"o{draw.randrange(10**5)}" for _ in range(5)] + passage[low : low + 18])))
+    docs += [(90, docs[0][1]), (None, docs[8][1])]
+    tables, files = scratch_tables(spark), shuffle_files(spark)
+    found = remove_repeats(frame(docs, "doc_id long, text string"), 5)
+    assert [n.split("-")[0] for n in scratch_tables(spark) - tables] == ["verdicts"]
+    until = time.time() + 20  # files are removed in the background
+    while shuffle_files(spark) - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - files
+    assert SHUFFLE_CLEANUP not in spark.conf.getAll
+    for _ in range(2):
+        assert tuples(found) == key(brute(docs, 5))
+
+
+def test_a_sessions_own_setting_stays(spark):
+    spark.conf.set(SHUFFLE_CLEANUP, "false")
+    try:
+        with releasing(spark):
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+    with pytest.raises(ValueError), releasing(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        raise ValueError
+    assert SHUFFLE_CLEANUP not in spark.conf.getAll

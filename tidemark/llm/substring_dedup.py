@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.shipping import ship
 from tidemark.llm.words import HashedWords, Texts, hashed_words, mix, signed, slices, window_hashes
-from tidemark.scratch import materialize
+from tidemark.scratch import materialize, materialize_last, releasing
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 4
@@ -198,11 +198,10 @@ def _listed(docs: DataFrame, lists: DataFrame) -> DataFrame:
     return docs.join(lists, "doc")
 
 
-def repeated_spans(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame:
-    """Maximal runs of words that also stand, in one piece, in an earlier document.
+def repeated_edges(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame:
+    """Windows whose anchor another text has too: ``edge``, ``doc``, ``content``, ``at``; see ``_edge_rows``.
 
-    ``doc``, ``content``, ``at``, ``n`` words, ``source``, ``source_at``, ``digest`` of the source's
-    words. ``contents`` names each content's first document; only those are searched.
+    ``contents`` names each content's first document; only those are searched.
     """
     rows = _anchor_rows(docs, size)
     repeated = rows.groupBy("anchor").agg(F.min("content").alias("low"), F.max("content").alias("high"))
@@ -210,7 +209,12 @@ def repeated_spans(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame
     flagged = rows.select("anchor", "doc").join(repeated, "anchor", "left_semi")
     lists = flagged.groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
     lists = materialize(lists.join(contents.select(F.col("first").alias("doc")).distinct(), "doc", "left_semi"), "flagged")
-    edges = materialize(_edge_rows(_listed(docs, lists), size), "edges")
+    return _edge_rows(_listed(docs, lists), size)
+
+
+def repeated_paths(edges: DataFrame, size: int) -> DataFrame:
+    """Maximal runs of words that also stand, in one piece, in an earlier document: ``doc``, ``content``, ``at``,
+    ``n`` words, ``source``, ``source_at``."""
     sources = edges.groupBy("edge").agg(
         F.min("doc").alias("source"), F.min_by("at", "doc").alias("source_at"), F.max("doc").alias("last")
     )
@@ -233,12 +237,38 @@ def repeated_spans(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame
         F.first("source").alias("source"),
         F.min("source_at").alias("source_at"),
     )
-    spans = materialize(spans.drop("path"), "spans")
+    return spans.drop("path")
+
+
+def repeated_spans(docs: DataFrame, size: int, contents: DataFrame) -> DataFrame:
+    """The repeated paths of ``docs`` and the ``digest`` of the words at their source.
+
+    The edges, several times as many as the paths, are deleted once these are written.
+    """
+
+    def paths() -> DataFrame:
+        edges = materialize_last(spark, lambda: repeated_edges(docs, size, contents), "edges")
+        return repeated_paths(edges, size)
+
+    spark = docs.sparkSession
+    spans = materialize_last(spark, paths, "spans")
     named = spans.groupBy(F.col("source").alias("doc")).agg(F.collect_set(F.struct("source_at", "n")).alias("spans"))
     digests = _digests(_listed(docs, materialize(named, "sources")))
     return spans.join(digests, ["source", "source_at", "n"])
 
 
+def verdicts(docs: DataFrame, size: int) -> DataFrame:
+    """Of each document that loses words, ``doc``, the ``spans`` that go, and ``copied``, its contents that go whole."""
+    described = materialize(_described(docs, size), "contents")
+    same = ["one", "two", "n_words"]
+    contents = materialize(described.groupBy(*same).agg(F.min("doc").alias("first")), "first-contents")
+    spans = repeated_spans(docs, size, contents.where(F.col("n_words") >= size))
+    lists = spans.groupBy("doc").agg(F.collect_list(F.struct("content", "at", "n", "digest")).alias("spans"))
+    copies = described.where(F.col("n_words") >= size).join(contents, same).where("doc > first")
+    copies = copies.groupBy("doc").agg(F.collect_set("one").alias("copied"))
+    return lists.join(copies, "doc", "full_outer")
+
+
 def remove_repeats(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """Documents without the words that windows from earlier documents cover.
 
@@ -253,16 +283,11 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     placed = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
-    described = materialize(_described(placed, size), "contents")
-    same = ["one", "two", "n_words"]
-    contents = materialize(described.groupBy(*same).agg(F.min("doc").alias("first")), "first-contents")
-    spans = repeated_spans(placed, size, contents.where(F.col("n_words") >= size))
-    lists = spans.groupBy("doc").agg(F.collect_list(F.struct("content", "at", "n", "digest")).alias("spans"))
-    copies = described.where(F.col("n_words") >= size).join(contents, same).where("doc > first")
-    copies = copies.groupBy("doc").agg(F.collect_set("one").alias("copied"))
-    told = materialize(lists.join(copies, "doc", "full_outer"), "verdicts")
+    with releasing(docs.sparkSession):
+        told = materialize_last(docs.sparkSession, lambda: verdicts(placed, size), "verdicts")
+        few = told.count() <= BROADCAST_IDS
     marked = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
-    if told.count() <= BROADCAST_IDS:  # then texts that stay as they are need no shuffle
+    if few:  # then texts that stay as they are need no shuffle
         ids = F.broadcast(told.select("doc"))
         touched = marked.join(ids, "doc", "left_semi").join(told, "doc")
         joined = touched.unionByName(marked.join(ids, "doc", "left_anti"), allowMissingColumns=True)

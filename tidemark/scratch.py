@@ -11,7 +11,7 @@ import contextvars
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +63,36 @@ def discarding(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Inside the block a query's shuffle files go when it ends, not when the driver next collects garbage.
+
+    For steps that continue from written tables. A setting that the session has is left as it is; a
+    version of Spark that lacks it keeps the files until then.
+    """
+    if SHUFFLE_CLEANUP in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+
+
+def materialize_last(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Write the frame that ``make`` gives, delete the scratch tables that ``make`` wrote, and continue from the written one."""
+    path = scratch_path(spark, label)
+    with discarding(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     spark = df.sparkSession
