@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from tidemark.llm import packing, token_ids
 from tidemark.llm.packing import RoomTree, best_fit_decreasing, pack
 from tidemark.llm.queries import op1_packing
+from tidemark.llm.shipping import BATCH_LIMIT, ship
 from tidemark.llm.token_ids import Encoder
 from tidemark.llm.words import Texts
 
@@ -112,3 +116,63 @@ def test_ids_of_other_tokenizer_files(name):
     ids, bounds = coder.encode(Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0))
     whole = Tokenizer.from_file(public_tokenizers.path(name))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def distinct_words(n, per_text=200):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(n)]
+    return [" ".join(words[i : i + per_text]) for i in range(0, n, per_text)]
+
+
+def test_memory_of_a_worker_is_bounded():
+    """Two MB of different words, of which none repeats: what they take beside the tokenizer itself."""
+    token_ids.encoder(PATH).forget()
+    texts = distinct_words(200_000)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    tracemalloc.start()
+    largest = max(out.nbytes for out in packing._cut(batch, PATH, 1, 2048))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert largest < 2 << 20
+
+
+def test_words_met_again_have_the_same_ids(monkeypatch):
+    """Few words are asked for at a time, and the store overflows."""
+    monkeypatch.setattr(token_ids, "ASKED_WORDS", 7)
+    monkeypatch.setattr(token_ids, "STORED_WORDS", 500)
+    coder = Encoder(PATH)
+    texts = distinct_words(1000, 50)
+    texts = [*texts[:6], *texts[:6], *texts, "", *texts[::-1]]
+    whole = Tokenizer.from_file(PATH)
+    for low in range(0, len(texts), 3):
+        raw = [t.encode() for t in texts[low : low + 3]]
+        ids, bounds = coder.encode(Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0))
+        expected = [whole.encode(t, add_special_tokens=False).ids for t in texts[low : low + 3]]
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == expected
+
+
+def test_batches_are_smaller_unless_the_session_has_a_limit(spark, frame):
+    docs = frame([(1, "a b")], "doc_id long, text string")
+    before = spark.conf.getAll.get(BATCH_LIMIT)
+    ship(spark)
+    packed = pack(docs, PATH)
+    assert spark.conf.get(BATCH_LIMIT) == str(1 << 20)
+    assert packed.count() == 1
+    ship(spark)
+    assert spark.conf.get(BATCH_LIMIT) == str(8 << 20)
+    spark.conf.set(BATCH_LIMIT, "123456")
+    try:
+        pack(docs, PATH)
+        assert spark.conf.get(BATCH_LIMIT) == "123456"
+    finally:
+        spark.conf.set(BATCH_LIMIT, before or str(8 << 20))
+
+
+def test_large_groups_come_back_in_small_batches(spark, frame):
+    """A group of 1200 pieces, each in its place; more pieces than one batch holds."""
+    docs = frame([(i, "word " * (i % 40)) for i in range(1200)], "doc_id long, text string")
+    rows = [r.asDict() for r in pack(docs, PATH, window=64).collect()]
+    assert sorted(r["doc_id"] for r in rows) == list(range(1200))
+    assert all(len(r["ids"]) == 4 * r["length"] for r in rows)
+    check_windows(rows, 64)

@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shipping import ship
-from tidemark.llm.token_ids import encoder
+from tidemark.llm.token_ids import BLOCK_BYTES, encoder
 from tidemark.llm.words import slices
 
 WINDOW = 2048
 GROUP_PIECES = 4096
 GROUP_BYTES = 8 << 20
+# An executor's JVM holds a batch several times on either way, beside its heap, and so does each Python worker.
+BATCH_BYTES = 1 << 20
+BATCH_PIECES = 256
 
 PIECES = "doc_id long, start long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -78,7 +81,7 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
 
 def _cut(batch: pa.RecordBatch, path: str, end_id: int, window: int) -> Iterator[pa.RecordBatch]:
     coder = encoder(path)
-    for texts in slices(batch.column("text")):
+    for texts in slices(batch.column("text"), BLOCK_BYTES):
         ids, bounds = coder.encode(texts)
         counts = np.diff(bounds) + 1
         flat = np.empty(len(ids) + len(texts), "<u4")
@@ -109,7 +112,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WIND
         for batch in batches:
             yield from _cut(batch, path, end_id, window)
 
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, BATCH_BYTES)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
@@ -133,7 +136,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW) -> D
         windows, offsets = best_fit_decreasing(lengths[order], window)
         table = table.take(pa.array(order))
         group = table["piece_group"][0].as_py()
-        return pa.table(
+        placed = pa.table(
             {
                 "doc_id": table["doc_id"],
                 "start": table["start"],
@@ -144,6 +147,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW) -> D
                 "ids": table["ids"],
             }
         )
+        return pa.Table.from_batches(placed.to_batches(max_chunksize=BATCH_PIECES))
 
     group = F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids")), F.lit(groups))
     pieces = token_pieces(docs, path, end_id, window).withColumn("piece_group", group)

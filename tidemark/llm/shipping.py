@@ -26,19 +26,22 @@ def _archive() -> str:
 
 
 _served: set[str] = set()
+_bounds: dict[str, str] = {}  # what this library has set last, by application
 
 # By default a batch has up to 10,000 rows, however long their texts are.
 BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Make the library importable in the Python workers of ``spark``.
 
-    Batches of rows sent to them are bounded to 8 MB, or one row, unless the session sets a limit.
+    Batches of rows sent to them are bounded to ``batch_bytes``, or one row, unless the session sets a limit.
+    The bound is the session's: of several frames made before the first one runs, the last one's holds.
     """
     context = spark.sparkContext
     if context.applicationId not in _served:
         context.addPyFile(_archive())
         _served.add(context.applicationId)
-    if BATCH_LIMIT not in spark.conf.getAll:
-        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    if spark.conf.getAll.get(BATCH_LIMIT) in (None, _bounds.get(context.applicationId)):
+        spark.conf.set(BATCH_LIMIT, str(batch_bytes))
+        _bounds[context.applicationId] = str(batch_bytes)

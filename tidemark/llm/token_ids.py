@@ -19,6 +19,8 @@ import pandas as pd
 from tidemark.llm.words import LOWER, Texts, blocks, find_words, gather, span_hashes
 
 STORED_WORDS = 200_000
+BLOCK_BYTES = 1 << 18  # of text looked up at a time; the temporaries on its words take many times that
+ASKED_WORDS = 4096  # new words that the tokenizer is asked for at a time
 #: Words of Latin letters alone, or of ASCII marks alone (apostrophes may join letters).
 PLAIN = re.compile(r"[a-zß-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")
 
@@ -90,7 +92,8 @@ class Encoder:
         return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        # The hashes of the stored words, ascending, and the places of their ids; a dict of Python numbers is several times as large.
+        self.known, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
@@ -113,8 +116,15 @@ class Encoder:
             word = word.translate(self.bytewise)
         return [x.id for x in self.model.tokenize(word)]
 
-    def _store(self, keys: list[int], words: list[str]) -> np.ndarray:
-        """Keep the ids of new words; their places."""
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """The places of words by their hashes; -1: not stored."""
+        if not len(self.known):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return np.where(self.known[at] == keys, self.slots[at], -1)
+
+    def _store(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
+        """Keep the ids of new words, each once; their places."""
         found = self._ask(words)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         n, slots = int(lengths.sum()), np.arange(len(self.known), len(self.known) + len(keys))
@@ -123,7 +133,9 @@ class Encoder:
         self.ids[self.used : self.used + n] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, n)
         self.starts[slots] = self.used + np.cumsum(lengths) - lengths
         self.lengths[slots] = lengths
-        self.known.update(zip(keys, slots.tolist()))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.known, keys[order])
+        self.known, self.slots = np.insert(self.known, at, keys[order]), np.insert(self.slots, at, slots[order])
         self.used += n
         return slots
 
@@ -136,14 +148,15 @@ class Encoder:
         back, keys = pd.factorize(hashes)
         if len(self.known) + len(keys) > STORED_WORDS:
             self.forget()
-        listed = keys.tolist()
-        places = np.fromiter(map(self.known.get, listed, itertools.repeat(-1)), np.int64, len(listed))
+        places = self._places(keys)
         new = np.flatnonzero(places < 0)
         if len(new):
             raw, seen = data.tobytes(), np.zeros(len(keys), np.int64)
             seen[back] = np.arange(len(back))
-            spans = zip(words.starts[seen[new]].tolist(), words.ends[seen[new]].tolist())
-            places[new] = self._store(keys[new].tolist(), [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            for low in range(0, len(new), ASKED_WORDS):
+                some = new[low : low + ASKED_WORDS]
+                spans = zip(words.starts[seen[some]].tolist(), words.ends[seen[some]].tolist())
+                places[some] = self._store(keys[some], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
         slots = places[back]
         lengths = self.lengths[slots]
         sums = np.concatenate([[0], np.cumsum(lengths)])
@@ -163,7 +176,7 @@ class Encoder:
         if len(special):
             parts = [self._whole(texts, i) for i in range(len(texts))]
         elif len(texts) == 1:
-            parts = [self._block(lowered[a:b], np.array([0, b - a]))[0] for a, b in blocks(lowered)]
+            parts = [self._block(lowered[a:b], np.array([0, b - a]))[0] for a, b in blocks(lowered, BLOCK_BYTES)]
             parts = [np.concatenate(parts)] if parts else [np.zeros(0, np.uint32)]
         else:
             return self._block(lowered, texts.offsets)
